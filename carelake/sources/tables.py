@@ -68,7 +68,10 @@ def contact_source(spark: SparkSession, sf_dir: str) -> DataFrame:
             "created_at",
             "modified_at",
             F.col("c_name").alias("first_name"),
-            F.concat(F.lit("+55 81 9"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("phone_number"),
+            F.concat(
+                F.when(segment.isin("BUILDING", "MACHINERY"), "+55819").otherwise("+55 81 9"),
+                F.lpad(F.col("c_custkey").cast("string"), 8, "0"),
+            ).alias("phone_number"),
             F.when(F.col("c_acctbal") < -950, 1).otherwise(0).alias("deleted"),
         )
     )
@@ -110,7 +113,8 @@ def chat_columns(events: DataFrame) -> DataFrame:
 
 def event_phone():
     """The sender's number as the chat channel writes it."""
-    return F.concat(F.lit("81 9"), F.lpad((F.col("user_id") * 17).cast("string"), 8, "0"))
+    prefix = F.when(F.col("user_id") < 40, "+55 81 9").otherwise("81 9")
+    return F.concat(prefix, F.lpad((F.col("user_id") * 17).cast("string"), 8, "0"))
 
 
 def summary_json(spark: SparkSession, sf_dir: str) -> DataFrame:

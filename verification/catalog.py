@@ -1,4 +1,4 @@
 """Importing this module fills the registry."""
 
-from verification import queries_models  # noqa: F401
+from verification import queries_models, queries_records  # noqa: F401
 from verification.registry import ORACLES, QUERIES  # noqa: F401

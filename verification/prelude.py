@@ -40,7 +40,9 @@ RELATIONS = {
                cast(c_acctbal as decimal(13,4)) as c_lifetime_value, 'brl' as c_lifetime_value_currency,
                cast(c_nationkey * 400 as decimal(13,4)) as c_potencial_venda, 'brl' as c_potencial_venda_currency,
                c_qtd_consultas, c_ultima_visita, d.text as c_aisummary, created_at, modified_at,
-               c_name as first_name, '+55 81 9' || lpad(cast(c_custkey as varchar), 8, '0') as phone_number,
+               c_name as first_name,
+               case when c_mktsegment in ('BUILDING', 'MACHINERY') then '+55819' else '+55 81 9' end
+                   || lpad(cast(c_custkey as varchar), 8, '0') as phone_number,
                case when c_acctbal < -950 then 1 else 0 end as deleted
         from customer left join visits on c_custkey = o_custkey left join documents d on d.doc_id = c_custkey
         union all
@@ -103,6 +105,77 @@ RELATIONS = {
                round(count(*) * 100.0::double / nullif((select count(*) from stg_contacts), 0) * 100) / 100 as coverage_pct
         from stg_ai_summaries s join stg_contacts c using (contato_hash)
         group by summary_quality""",
+    "messages": """
+        select event_id, user_id, ts, event_type || ' ' || props as text,
+               case when user_id < 40 then '+55 81 9' else '81 9' end
+                   || lpad(cast(user_id * 17 as varchar), 8, '0') as phone
+        from events""",
+    "phones": "select distinct trim(replace(replace(phone, '+', ''), ' ', '')) as clean from messages",
+    "summary_json": """
+        select event_id, user_id, ts,
+               case when user_id < 40 then '+55 81 9' else '81 9' end
+                   || lpad(cast(user_id * 17 as varchar), 8, '0') as phone,
+               '{' || case when event_type = 'signup' then '"cliente": "Ana Maria U' || user_id || '", '
+                           when event_type = 'purchase' then '"cliente": "Bruno", '
+                           when event_type = 'error' and value > 400 then '"cliente": null, ' else '' end
+               || '"intencao": "' || case when event_type = 'click' then 'Inquiry'
+                           when event_type = 'purchase' then 'Scheduling' when event_type = 'error' then 'Complaint'
+                           when value > 450 then 'Sale' else 'Other' end
+               || '", "potencial": ' || case when value < 1 then '-' || cast(value as decimal(9,2))
+                           when value > 480 then '"high"' else cast(cast(value as decimal(9,2)) as varchar) end
+               || ', "qtd_consultas": ' || regexp_extract(props, '([0-9]+)', 1)
+               || case when cast(regexp_extract(props, '([0-9]+)', 1) as integer) > 80
+                       then ', "fobias_alergias": "needle_phobia"' else '' end
+               || case when event_type = 'view'
+                       then ', "obs": "CPF 123.456.789-00 CNPJ 12.345.678/0001-90"' else '' end
+               || ', "canal": "chat"}' as summary_json
+        from events""",
+    "parsed": """
+        select event_id, phone, ts,
+               case when json_type(j, '$.cliente') is null then 'Not identified' else j->>'$.cliente' end as cliente,
+               case when json_type(j, '$.intencao') is null then 'Other' else j->>'$.intencao' end as intencao,
+               case when json_type(j, '$.solicitacao') is null then 'Not identified' else j->>'$.solicitacao' end as solicitacao,
+               case when json_type(j, '$.obs') is null then 'No additional notes' else j->>'$.obs' end as obs,
+               case when json_type(j, '$.fobias_alergias') is null then 'None reported'
+                    else j->>'$.fobias_alergias' end as fobias_alergias,
+               case when json_type(j, '$.historico') is null then 'No history available'
+                    else j->>'$.historico' end as historico,
+               case when json_type(j, '$.ltv_pago') is null then 0.0::double
+                    else try_cast(j->>'$.ltv_pago' as double) end as ltv_pago,
+               case when json_type(j, '$.potencial') is null then 0.0::double
+                    else try_cast(j->>'$.potencial' as double) end as potencial,
+               case when json_type(j, '$.qtd_consultas') is null then 0
+                    else try_cast(j->>'$.qtd_consultas' as integer) end as qtd_consultas,
+               json_type(j, '$.cliente') = 'NULL' as null_cliente
+        from (select event_id, phone, ts, summary_json::json as j from summary_json)""",
+    "checked": """
+        select *, concat_ws(',',
+               case when null_cliente then 'cliente' end,
+               case when intencao is null or intencao not in ('Inquiry', 'Scheduling', 'Complaint', 'Other')
+                    then 'intencao' end,
+               case when potencial is null or potencial < 0 then 'potencial' end,
+               case when qtd_consultas is null or qtd_consultas < 0 then 'qtd_consultas' end) as violations
+        from parsed""",
+    "valid_summaries": """
+        select *, replace(replace(obs, '123.456.789-00', '***.***.***-**'),
+                          '12.345.678/0001-90', '**.***.***/****-**') as masked_obs,
+               trim(replace(replace(phone, '+', ''), ' ', '')) as clean
+        from checked where violations = ''""",
+    "crm_notes": """
+        select event_id, '**AI Clinical Summary:**' || chr(10) || cliente || '. ' || fobias_alergias || '. ' || historico
+               || chr(10) || chr(10) || '**Technical Note:**' || chr(10) || '- Client: ' || cliente || chr(10)
+               || '- Intent: ' || intencao || chr(10) || '- Request: ' || solicitacao || chr(10)
+               || '- Notes: ' || masked_obs || chr(10)
+               || '- Estimated potential: R$ ' || printf('%.2f', potencial) || chr(10)
+               || '- Visit count: ' || qtd_consultas as note
+        from valid_summaries""",
+    "contact_matches": """
+        select p.clean, coalesce(
+                   (select min(c.id) from contacts c
+                    where replace(replace(c.phone_number, '+', ''), ' ', '') = p.clean),
+                   (select min(c.id) from contacts c
+                    where contains(replace(replace(c.phone_number, '+', ''), ' ', ''), p.clean))) as contact_id
+        from phones p""",
 }
 
 _WORD = re.compile(r"[a-z_]+")
