@@ -176,6 +176,44 @@ RELATIONS = {
                    (select min(c.id) from contacts c
                     where contains(replace(replace(c.phone_number, '+', ''), ' ', ''), p.clean))) as contact_id
         from phones p""",
+    "services_source": """
+        select p_partkey as item_id, p_name || ' ' || p_type as service_name, p_type as category,
+               cast(p_retailprice as decimal(10,2)) as price from part""",
+    "interactions_source": """
+        select cast(event_id as varchar) as interaction, 'C' || user_id as contato_id,
+               cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as item_id,
+               case when event_type <> 'view' then cast(value as decimal(12,2)) * 2 end as potential,
+               case event_type when 'click' then 'Inquiry' when 'purchase' then 'Scheduling'
+                    when 'error' then 'Complaint' else 'Other' end as ai_intent,
+               case when value > 150 then 'needle_phobia' else 'none' end as fear,
+               case when event_type = 'purchase' then cast(value as decimal(12,2)) end as paid,
+               ts as created_at
+        from events""",
+    "dim_patients": f"""
+        select sha256(contato_id || '{SALT}') as patient_key,
+               max((created_at, interaction, ai_intent))[3] as intent_segment,
+               max((created_at, interaction, fear))[3] as fear_segment,
+               cast(min(created_at) as date) as first_contact, cast(max(created_at) as date) as last_contact,
+               count(paid) as total_visits
+        from interactions_source group by contato_id""",
+    "dim_services": """
+        select row_number() over (order by md5(service_name)) as service_key, service_name, min(category) as category,
+               round(sum(price)::double / count(price) * 100) / 100 as avg_price_brl
+        from services_source group by service_name""",
+    "dim_date": """
+        select cast(day as date) as date_key, year(day) as year, month(day) as month, quarter(day) as quarter,
+               isodow(day) as day_of_week, isodow(day) >= 6 as is_weekend
+        from (select unnest(generate_series(date_trunc('day', min(created_at)), max(created_at), interval 1 day)) as day
+              from interactions_source)""",
+    "fact_interactions": f"""
+        select left(m, 8) || '-' || m[9:12] || '-' || m[13:16] || '-' || m[17:20] || '-' || m[21:32] as interaction_id,
+               patient_key, service_key, cast(created_at as date) as date_key,
+               coalesce(potential, 0) as estimated_potential, ai_intent,
+               case when paid is null then 0 else 1 end as visit_count, coalesce(paid, 0) as valor_pago,
+               coalesce(total_pago, 0) as ltv_acumulado, created_at
+        from (select *, md5(interaction) as m, sha256(contato_id || '{SALT}') as patient_key from interactions_source) i
+        left join services_source using (item_id) left join dim_services using (service_name)
+        left join billing_agg on patient_key = contato_hash""",
 }
 
 _WORD = re.compile(r"[a-z_]+")
