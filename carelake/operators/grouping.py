@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join rows with a table that has one row per key, whatever the key's skew.
+
+    A small lookup is broadcast by the optimizer's own size check. Otherwise
+    adaptive execution splits a hot key's rows over many tasks, but only where
+    both join sides come straight out of a shuffle. A lookup that was just
+    aggregated by the same key does not: its partitioning would be reused. The
+    null-safe comparison gives it a shuffle of its own, of one row per key.
+    """
+    other = "__lookup_key"
+    renamed = lookup.withColumnRenamed(key, other)
+    return rows.join(renamed, F.col(key).eqNullSafe(F.col(other)), how).drop(other)
+
+
 def attach_group_totals(rows: DataFrame, key: str, totals: list[Column]) -> DataFrame:
     """Every row plus the aggregates of its group; NULL keys form one group.
 
-    The same result as an unordered window, planned as a partial-then-final
-    aggregation joined back. A window would send each group to one task. Here
-    the aggregation combines before its shuffle, a small total is broadcast by
-    the optimizer's own size check, and in the sort-merge case adaptive
-    execution splits a hot key's rows over many tasks.
+    The same result as an unordered window, which would send each group to one
+    task. Here the aggregation combines before its shuffle and is joined back.
     """
-    group = "__group_key"
-    per_group = rows.groupBy(F.col(key).alias(group)).agg(*totals)
-    return rows.join(per_group, F.col(key).eqNullSafe(F.col(group)), "left").drop(group)
+    return join_lookup(rows, rows.groupBy(key).agg(*totals), key)
 
 
 def number_rows(rows: DataFrame, unique_text: Column, number: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from carelake import schemas
 from carelake.functions.numeric import rounded_mean, rounded_pct, round_half_away
 from carelake.functions.privacy import hash_id_salted
-from carelake.operators.grouping import number_rows
+from carelake.operators.grouping import join_lookup, number_rows
 
 
 def _declared(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -78,14 +78,17 @@ def fact_interactions(
     Both lookups are unique on their key, so the fact side keeps its row count;
     a hot patient or service is split by adaptive execution.
     """
-    service_of_item = services.select("item_id", "service_name").join(
-        service_dim.select("service_name", "service_key"), "service_name"
+    service_of_item = join_lookup(
+        services.where(F.col("item_id").isNotNull()).select("item_id", "service_name"),
+        service_dim.select("service_name", "service_key"),
+        "service_name",
+        "inner",
     )
     lifetime = billing.groupBy("contato_hash").agg(F.sum("valor").alias("ltv_acumulado"))
+    hashed = interactions.withColumn("contato_hash", hash_id_salted(F.col("contato_id"), salt))
+    with_service = join_lookup(hashed, service_of_item.select("item_id", "service_key"), "item_id")
     rows = (
-        interactions.withColumn("contato_hash", hash_id_salted(F.col("contato_id"), salt))
-        .join(service_of_item.select("item_id", "service_key"), "item_id", "left")
-        .join(lifetime, "contato_hash", "left")
+        join_lookup(with_service, lifetime, "contato_hash")
         .select(
             natural_uuid(F.col("interaction")).alias("interaction_id"),
             F.col("contato_hash").alias("patient_key"),
@@ -120,7 +123,7 @@ def vw_pipeline_by_intent(fact: DataFrame) -> DataFrame:
 
 def join_fact_patients(fact: DataFrame, patients: DataFrame) -> DataFrame:
     """Interactions with their patient's row; unknown patients drop out."""
-    return fact.join(patients, "patient_key")
+    return join_lookup(fact, patients, "patient_key", "inner")
 
 
 def vw_fear_vs_conversion(fact: DataFrame, patients: DataFrame) -> DataFrame:
@@ -139,7 +142,7 @@ def vw_fear_vs_conversion(fact: DataFrame, patients: DataFrame) -> DataFrame:
     potential = F.sum("potential").cast("double") / F.nullif(F.sum("n_potential"), F.lit(0))
     revenue = F.sum("revenue").cast("double") / F.nullif(F.sum("n_revenue"), F.lit(0))
     return (
-        per_patient.join(patients.select("patient_key", "fear_segment"), "patient_key")
+        join_lookup(per_patient, patients.select("patient_key", "fear_segment"), "patient_key", "inner")
         .groupBy("fear_segment")
         .agg(
             F.sum("n").alias("total_patients"),

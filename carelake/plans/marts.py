@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from carelake.functions.numeric import round_half_away, rounded_mean
 from carelake.functions.privacy import hash_id_unsalted
 from carelake.functions.text import is_nonblank, summary_quality
-from carelake.operators.grouping import attach_group_totals
+from carelake.operators.grouping import attach_group_totals, join_lookup
 
 
 def days_since(day: Column, as_of: dt.date) -> Column:
@@ -52,7 +52,7 @@ def billing_agg(billing: DataFrame) -> DataFrame:
 
 def contacts_with_billing(contacts: DataFrame, billing: DataFrame) -> DataFrame:
     """Contacts with their payments, aggregated before the join; no payment gives 0."""
-    return contacts.join(billing_agg(billing), "contato_hash", "left").withColumns(
+    return join_lookup(contacts, billing_agg(billing), "contato_hash").withColumns(
         {
             "total_pago": F.coalesce("total_pago", F.lit(0).cast("decimal(20,2)")),
             "total_pagamentos": F.coalesce("total_pagamentos", F.lit(0)),
@@ -110,7 +110,7 @@ def summaries_with_contacts(summaries: DataFrame, contacts: DataFrame) -> DataFr
     snapshots): the contact side is reduced to one row per key first, so the
     output never grows with the product of the two group sizes.
     """
-    return summaries.join(contact_totals(contacts), "contato_hash")
+    return join_lookup(summaries, contact_totals(contacts), "contato_hash", "inner")
 
 
 def fct_ai_performance(contacts: DataFrame) -> DataFrame:
