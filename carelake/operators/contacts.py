@@ -14,6 +14,7 @@ from carelake.functions.text import (
     money_display,
     visits_display,
 )
+from carelake.session import stored
 
 # Fixed value: the care status of a contact created from a message.
 NEW_STATUS = "Novo Lead"
@@ -41,46 +42,48 @@ def match_by_equal_phone(messages: DataFrame, contacts: DataFrame) -> DataFrame:
     return wanted.join(known, "clean", "left")
 
 
-def match_by_contained_phone(messages: DataFrame, contacts: DataFrame, normalise: bool = False) -> DataFrame:
+def match_by_contained_phone(messages: DataFrame, contacts: DataFrame) -> DataFrame:
     """(clean, contact_id): the smallest id whose stored phone contains the number.
 
-    A substring search as an equality join. Stored numbers are short, so each
-    yields its substrings, but only of lengths that are looked for; every
-    substring keeps its smallest id, combined before the shuffle. No pair of
-    message and contact is ever built, even if all contacts hold the number.
-    ``normalise`` cleans the stored phone first. An empty number matches nothing.
+    The stored phone is searched as it is; only the number looked for is cleaned.
+    """
+    return _match_pieces(messages, contacts, F.col("phone_number"), F.min("id"))
+
+
+def match_phones(messages: DataFrame, contacts: DataFrame) -> DataFrame:
+    """(clean, contact_id): an equal phone if there is one, else a containing one.
+
+    Both sides are cleaned. Differs from the pure substring search when one
+    number contains another: the contact with exactly this number is preferred.
+    """
+    equal = F.length("clean") == F.length("stored")
+    preferred = F.coalesce(F.min(F.when(equal, F.col("id"))), F.min("id"))
+    return _match_pieces(messages, contacts, clean_phone(F.col("phone_number")), preferred)
+
+
+def _match_pieces(messages: DataFrame, contacts: DataFrame, phone: Column, choice: Column) -> DataFrame:
+    """A substring search as an equality join.
+
+    Stored numbers are short, so each yields its substrings, but only of
+    lengths that are looked for; every substring keeps the chosen id, combined
+    before the shuffle. No pair of message and contact is ever built, even if
+    all contacts hold the number. An empty number matches nothing.
     """
     wanted = _wanted(messages)
     lengths = wanted.agg(F.collect_set(F.length("clean"))).scalar()
-    stored = clean_phone(F.col("phone_number")) if normalise else F.col("phone_number")
+    width, start = F.col("width"), F.col("start")
     pieces = (
         contacts.where(F.col("phone_number").isNotNull())
-        .select("id", stored.alias("stored"), lengths.alias("lengths"))
-        .select("id", "stored", F.explode("lengths").alias("width"))
-        .where(F.length("stored") >= F.col("width"))
-        .select(
-            "id", "stored", "width",
-            F.explode(F.sequence(F.lit(1), F.length("stored") - F.col("width") + 1)).alias("start"),
-        )
-        .select("id", F.substring("stored", F.col("start"), F.col("width")).alias("clean"))
+        .select("id", phone.alias("stored"), F.explode(lengths).alias("width"))
+        .where(F.length("stored") >= width)
+        .select("id", "stored", "width", F.explode(F.sequence(F.lit(1), F.length("stored") - width + 1)).alias("start"))
+        .select("id", "stored", F.substring("stored", start, width).alias("clean"))
         .groupBy("clean")
-        .agg(F.min("id").alias("contact_id"))
+        .agg(choice.alias("contact_id"))
     )
     return wanted.join(pieces, "clean", "left")
 
 
-def match_phones(messages: DataFrame, contacts: DataFrame) -> DataFrame:
-    """Equal numbers first; the substring search only for what is left.
-
-    Differs from the pure substring search when one number contains another:
-    the contact with exactly this number is preferred.
-    """
-    equal = match_by_equal_phone(messages, contacts)
-    found = equal.where(F.col("contact_id").isNotNull())
-    rest = equal.where(F.col("contact_id").isNull()).select(F.col("clean").alias("phone"))
-    return found.unionByName(match_by_contained_phone(rest, contacts, normalise=True))
-
-
 def _wanted(messages: DataFrame) -> DataFrame:
     return (
         messages.select(clean_phone(F.col("phone")).alias("clean"))
@@ -136,7 +139,8 @@ def merge_contacts(contacts: DataFrame, folded: DataFrame) -> DataFrame:
 
     A matched contact gets AI-owned columns, and the name parts that were
     given. An unmatched number becomes a new contact. Columns owned by billing
-    are never written.
+    are never written. ``folded`` is used several times, so pass a stored
+    table (``stored`` or the update log) rather than a long plan.
     """
     matches = match_phones(folded.select(F.col("clean").alias("phone")), contacts)
     new_key = F.concat(F.lit("new:"), F.col("clean"))
@@ -168,3 +172,8 @@ def merge_contacts(contacts: DataFrame, folded: DataFrame) -> DataFrame:
         result[column] = F.when(touched, value).otherwise(result[column])
     result["merge_action"] = F.when(inserted, "inserted").when(touched, "updated").otherwise("unchanged")
     return joined.select(*[value.alias(name) for name, value in result.items()])
+
+
+def upsert_contacts(contacts: DataFrame, updates: DataFrame) -> DataFrame:
+    """Contacts after a batch of validated summaries; the fold is stored once."""
+    return merge_contacts(contacts, stored(fold_updates(updates), "folded_updates"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. AQE splits skewed join partitions and
 # coalesces small ones; UTC keeps date casts stable.
@@ -42,3 +42,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="carelake-")
     return f"{base.rstrip('/')}/carelake/{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For a result that several branches of a plan use: it is computed once, its
+    columns can be pruned, and losing an executor costs no recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -23,7 +23,7 @@ def write_batch(batch: DataFrame, batch_id: int, log_path: str, quarantine_path:
     """
     checked = check_summaries(batch, "summary_json")
     fold_updates(valid(checked)).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
-    rejected = quarantined(checked).drop("summary", "violations")
+    rejected = quarantined(checked).drop("summary")
     rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
 
 

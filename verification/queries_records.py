@@ -119,12 +119,11 @@ select event_id, violations,
        case when violations = '' then historico end as historico
 from checked""")
 def contract_summary(spark, d):
-    fine = F.size("violations") == 0
-    fields = [f.name for f in contracts.summary_fields()]
+    fine = F.col("violations") == ""
     return checked(spark, d).select(
         "event_id",
-        F.array_join("violations", ",").alias("violations"),
-        *[F.when(fine, F.col("summary")[name]).alias(name) for name in fields],
+        "violations",
+        *[F.when(fine, F.col("summary")[name]).alias(name) for name in contracts.SUMMARY_FIELDS],
     )
 
 
@@ -142,7 +141,7 @@ select conv_id, turn, phone, patient_name,
 from p""")
 def contract_payload(spark, d):
     result = contracts.check_payloads(tables.payload_json(spark, d), "payload")
-    return result.select("conv_id", "turn", "record.*", F.array_join("violations", ",").alias("violations"))
+    return result.select("conv_id", "turn", "record.*", "violations")
 
 
 _TURNS_SQL = """
@@ -283,8 +282,7 @@ MERGED_COLUMNS = (
 
 @query("merge_contacts", MERGED_SQL)
 def merge_contacts(spark, d):
-    folded = crm.fold_updates(valid_summaries(spark, d))
-    return crm.merge_contacts(live_contacts(spark, d), folded).select(*MERGED_COLUMNS)
+    return crm.upsert_contacts(live_contacts(spark, d), valid_summaries(spark, d)).select(*MERGED_COLUMNS)
 
 
 # -- data quality --------------------------------------------------------------

@@ -120,7 +120,7 @@ def sink_contact_upsert(spark, d):
     from verification.queries_records import valid_summaries
 
     path = scratch_path(spark, "contacts/version=1")
-    merged = crm.merge_contacts(live_contacts(spark, d), crm.fold_updates(valid_summaries(spark, d)))
+    merged = crm.upsert_contacts(live_contacts(spark, d), valid_summaries(spark, d))
     merged.write.mode("overwrite").parquet(path)
     return spark.read.option("basePath", path).parquet(path).select(*MERGED_COLUMNS)
 
