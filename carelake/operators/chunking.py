@@ -82,8 +82,13 @@ def chunk_fixed_window(documents: DataFrame, size: int = CHUNK_SIZE, overlap: in
     stride = size - overlap
     length = F.length("text")
     windows = F.greatest(F.ceil((length - F.lit(overlap)) / F.lit(stride)), F.lit(1)).cast("int")
-    cut = F.transform(
-        F.sequence(F.lit(0), windows - 1),
-        lambda step: F.substring(F.col("text"), step * F.lit(stride) + F.lit(1), F.lit(size)),
+    # Pieces of one stride, each then extended by the start of the next. Cutting
+    # by position instead would scan a long text once per window.
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{stride}}}"), 0)
+    following = F.slice("pieces", F.lit(2), F.size("pieces"))
+    joined = F.zip_with("pieces", following, lambda p, n: F.concat(p, F.coalesce(F.left(n, F.lit(overlap)), F.lit(""))))
+    return (
+        documents.where(length > 0)
+        .select("doc_id", windows.alias("windows"), pieces.alias("pieces"))
+        .select("doc_id", F.posexplode(F.slice(joined, F.lit(1), F.col("windows"))).alias("chunk_no", "chunk"))
     )
-    return documents.where(length > 0).select("doc_id", F.posexplode(cut).alias("chunk_no", "chunk"))
