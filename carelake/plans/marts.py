@@ -163,7 +163,7 @@ def fct_ai_performance(contacts: DataFrame) -> DataFrame:
     everyone_count = F.collect_list(F.when(F.col("tier").isNull(), F.col("pairs")))
     tiers_array = F.collect_list(F.struct(*by_tier.columns))
     return (
-        by_tier.agg(everyone_count[0].alias("n_contacts"), tiers_array.alias("t"))
+        by_tier.agg(F.get(everyone_count, F.lit(0)).alias("n_contacts"), tiers_array.alias("t"))
         .select("n_contacts", F.inline("t"))
         .where(F.col("tier").isNotNull())
         .select(
