@@ -80,25 +80,46 @@ def unexpected_values(table: DataFrame, column: str, accepted: tuple[str, ...])
     )
 
 
-def report(tables: dict[str, DataFrame], checks: dict[str, TableChecks] = DECLARED) -> DataFrame:
-    """One row per table, column and test with its number of failures.
+def table_report(name: str, table: DataFrame, wanted: TableChecks) -> DataFrame:
+    """(table_name, column_name, test, failures) for the checks of one table.
 
     As in declarative test runners, not_null counts rows, while unique and
-    accepted_values count distinct offending values.
+    accepted_values count distinct offending values. All not_null and one
+    unique check share a pass: rows are first counted per key value, together
+    with their NULLs. The accepted_values checks share another, which only
+    shuffles offending values.
     """
-    parts: list[DataFrame] = []
-    for name, table in tables.items():
-        wanted = checks[name]
-        results = [(None, "not_null", null_counts(table, wanted.not_null))]
-        results += [(c, "unique", duplicates(table, c)) for c in wanted.unique]
-        results += [(c, "accepted_values", unexpected_values(table, c, v)) for c, v in wanted.accepted.items()]
-        for column, test, result in results:
-            if column is not None:
-                result = result.agg(F.lit(column).alias("column_name"), F.count("*").alias("failures"))
-            parts.append(
-                result.select(F.lit(name).alias("table_name"), "column_name", F.lit(test).alias("test"), "failures")
-            )
-    return reduce(DataFrame.union, parts)
+    nulls = {c: F.count_if(F.col(c).isNull()).alias(f"{c}|not_null") for c in wanted.not_null}
+    summed = [F.coalesce(F.sum(f"`{c}|not_null`"), F.lit(0)).alias(f"{c}|not_null") for c in wanted.not_null]
+    first_key, other_keys = wanted.unique[:1], wanted.unique[1:]
+    if first_key:
+        per_value = table.groupBy(F.col(first_key[0]).alias("__value")).agg(F.count("*").alias("__n"), *nulls.values())
+        repeated = F.count_if((F.col("__n") > 1) & F.col("__value").isNotNull())
+        counts = per_value.agg(*summed, repeated.alias(f"{first_key[0]}|unique"))
+    else:
+        counts = table.agg(*nulls.values())
+    parts = [counts]
+    for key in other_keys:
+        parts.append(duplicates(table, key).agg(F.count("*").alias(f"{key}|unique")))
+    if wanted.accepted:
+        offending = F.array_compact(F.array(*[
+            F.when(~F.col(c).isin(*values), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")))
+            for c, values in wanted.accepted.items()
+        ]))
+        distinct = table.select(F.inline(offending)).distinct()
+        parts.append(distinct.agg(*[
+            F.count_if(F.col("column") == c).alias(f"{c}|accepted_values") for c in wanted.accepted
+        ]))
+    named = F.split("check", r"\|")
+    rows = [p.unpivot([], p.columns, "check", "failures") for p in parts]
+    return reduce(DataFrame.union, rows).select(
+        F.lit(name).alias("table_name"), named[0].alias("column_name"), named[1].alias("test"), "failures"
+    )
+
+
+def report(tables: dict[str, DataFrame], checks: dict[str, TableChecks] = DECLARED) -> DataFrame:
+    """One row per table, column and test with its number of failures."""
+    return reduce(DataFrame.union, [table_report(n, t, checks[n]) for n, t in tables.items()])
 
 
 def fk_orphans(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: str) -> DataFrame:

@@ -28,13 +28,16 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
     """(group..., <prefix>_ids, <prefix>_values): vectors of a group, side by side.
 
     Packing happens inside each partition, without a shuffle. A block holds at
-    most about a megabyte. Vectors must have columns id and vec.
+    most about a megabyte, in the precision of its input. Vectors must have
+    columns id and vec.
     """
+    single = vectors.schema["vec"].dataType.elementType.typeName() == "float"
+    kind, number = ("float", np.float32) if single else ("double", np.float64)
     fields = ", ".join(f"{name} string" for name in group)
-    schema = f"{fields}, {prefix}_ids array<bigint>, {prefix}_values array<double>"
+    schema = f"{fields}, {prefix}_ids array<bigint>, {prefix}_values array<{kind}>"
     arrow_schema = pa.schema(
         [(name, pa.string()) for name in group]
-        + [(f"{prefix}_ids", pa.list_(pa.int64())), (f"{prefix}_values", pa.list_(pa.float64()))]
+        + [(f"{prefix}_ids", pa.list_(pa.int64())), (f"{prefix}_values", pa.list_(pa.from_numpy_dtype(number)))]
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,8 +49,8 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
             lists = batch.column("vec")
             if len(pc.unique(pc.list_value_length(lists))) != 1:
                 raise ValueError("vectors of one collection table must have one width")
-            matrix = lists.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
-            step = int(min(_BLOCK_ROWS, max(1, _BLOCK_BYTES // (8 * matrix.shape[1]))))
+            matrix = lists.flatten().to_numpy(zero_copy_only=False).astype(number).reshape(batch.num_rows, -1)
+            step = int(min(_BLOCK_ROWS, max(1, _BLOCK_BYTES // max(1, matrix[0].nbytes))))
             rows = []
             for key, places in keys.groupby(group, sort=False).indices.items():
                 names = key if isinstance(key, tuple) else (key,)
@@ -66,7 +69,7 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
 
 def _unit_rows(values: np.ndarray, rows: int) -> np.ndarray:
     """Rows scaled to length one; a zero row stays zero."""
-    matrix = values.reshape(rows, -1)
+    matrix = values.astype(np.float64).reshape(rows, -1)
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 

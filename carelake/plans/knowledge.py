@@ -21,7 +21,8 @@ BLOCK_TAIL = "\n\nUse this context to estimate the 'potencial' field based on re
 def fit_embedder(chunks: DataFrame, width: int = 256) -> PipelineModel:
     """A local text embedder: hashed terms weighted by rarity, length one.
 
-    Its state is one number per dimension, whatever the size of the corpus.
+    Its state is one number per dimension, whatever the size of the corpus. The
+    chunks are read once here and once by ``embed_chunks``: pass a stored table.
     """
     stages = [
         RegexTokenizer(inputCol="chunk", outputCol="terms", pattern=r"[^\p{L}\p{N}]+"),

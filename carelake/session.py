@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # pandas writes nanosecond timestamps; read them as integers and convert.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Recording the Python call site of every column expression costs more than
+    # planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 

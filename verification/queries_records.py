@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from carelake.functions import privacy, text
 from carelake.operators import contacts as crm, contracts, quality
 from carelake.plans import marts
+from carelake.session import stored
 from carelake.sources import jdbc, tables
 from verification.prelude import with_tables
 from verification.queries_models import (
@@ -328,14 +329,15 @@ def _report_sql() -> str:
 
 @query("dq_report", _report_sql())
 def dq_report(spark, d):
+    """Staging models are checked as views, marts as the tables they are."""
     billing, people = stg_billing(spark, d), stg_contacts(spark, d)
     return quality.report({
         "stg_recebimentos": billing,
         "stg_contacts": people,
         "stg_ai_summaries": stg_summaries(spark, d),
-        "fct_ltv": marts.fct_ltv(billing, RUN_DATE),
-        "fct_pipeline": pipeline(spark, d),
-        "fct_ai_performance": marts.fct_ai_performance(people),
+        "fct_ltv": stored(marts.fct_ltv(billing, RUN_DATE), "fct_ltv"),
+        "fct_pipeline": stored(pipeline(spark, d), "fct_pipeline"),
+        "fct_ai_performance": stored(marts.fct_ai_performance(people), "fct_ai_performance"),
     })
 
 

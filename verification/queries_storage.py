@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from carelake import schemas
 from carelake.operators import chunking, contacts as crm, vectors
 from carelake.plans import knowledge, marts
-from carelake.session import scratch_path
+from carelake.session import scratch_path, stored
 from carelake.sources import collections, documents, jdbc, snapshots, tables
 from carelake.streaming import sessions as session_stream, upsert
 from verification.prelude import with_tables
@@ -160,7 +160,7 @@ def chunk_fixed_window(spark, d):
 
 @query("embed_chunks")
 def embed_chunks(spark, d):
-    chunks = _chunks(spark, d)
+    chunks = stored(_chunks(spark, d), "chunks")
     embedded = knowledge.embed_chunks(chunks, knowledge.fit_embedder(chunks))
     return embedded.select(
         "doc_id", "chunk_no", F.size("embedding").alias("width"),
