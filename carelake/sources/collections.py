@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def replace_collections(vectors: DataFrame, path: str) -> None:
-    """Write collections, each replacing its stored version; others stay."""
+    """Write collections, each replacing its stored version; others stay.
+
+    The rebalance gives each collection few files, and a large one several tasks.
+    """
     (
-        vectors.write.mode("overwrite")
+        vectors.hint("rebalance", "collection")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("collection")
         .parquet(path)

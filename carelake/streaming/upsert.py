@@ -21,10 +21,11 @@ def write_batch(batch: DataFrame, batch_id: int, log_path: str, quarantine_path:
     The folder is named after the batch and overwritten, so a batch that is
     run again after a failure leaves the same log.
     """
-    checked = check_summaries(batch, "summary_json")
+    checked = check_summaries(batch, "summary_json").persist()
     fold_updates(valid(checked)).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
     rejected = quarantined(checked).drop("summary")
     rejected.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+    checked.unpersist()
 
 
 def stream_upsert(

@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from carelake.functions import privacy, text
 from carelake.operators import contacts as crm, contracts, quality
-from carelake.plans import marts
+from carelake.plans import marts, staging
 from carelake.session import stored
 from carelake.sources import jdbc, tables
 from verification.prelude import with_tables
-from verification.queries_models import (
-    RUN_DATE, contacts_raw, pipeline, stg_billing, stg_contacts, stg_summaries,
-)
+from verification.queries_models import RUN_DATE, contacts_raw, stg_billing, stg_contacts
 from verification.registry import query
 
 # -- redaction ---------------------------------------------------------------
@@ -329,15 +327,17 @@ def _report_sql() -> str:
 
 @query("dq_report", _report_sql())
 def dq_report(spark, d):
-    """Staging models are checked as views, marts as the tables they are."""
-    billing, people = stg_billing(spark, d), stg_contacts(spark, d)
+    """Six models over two staging relations, which are written once and then
+    read back with only the columns each model needs."""
+    billing = stored(stg_billing(spark, d), "stg_recebimentos")
+    people = stored(stg_contacts(spark, d), "stg_contacts")
     return quality.report({
         "stg_recebimentos": billing,
         "stg_contacts": people,
-        "stg_ai_summaries": stg_summaries(spark, d),
-        "fct_ltv": stored(marts.fct_ltv(billing, RUN_DATE), "fct_ltv"),
-        "fct_pipeline": stored(pipeline(spark, d), "fct_pipeline"),
-        "fct_ai_performance": stored(marts.fct_ai_performance(people), "fct_ai_performance"),
+        "stg_ai_summaries": staging.stg_ai_summaries(people),
+        "fct_ltv": marts.fct_ltv(billing, RUN_DATE),
+        "fct_pipeline": marts.fct_pipeline(people, billing, RUN_DATE),
+        "fct_ai_performance": marts.fct_ai_performance(people),
     })
 
 
@@ -353,13 +353,14 @@ def materialize_view(spark, d):
 @query("ref_dependency_order", with_tables(*quality.DECLARED) + "\nunion all ".join(
     f"select '{name}' as model, count(*) as n_rows from {name}" for name in quality.DECLARED))
 def ref_dependency_order(spark, d):
-    billing, people = stg_billing(spark, d), stg_contacts(spark, d)
+    billing = stored(stg_billing(spark, d), "stg_recebimentos")
+    people = stored(stg_contacts(spark, d), "stg_contacts")
     models = {
         "stg_recebimentos": billing,
         "stg_contacts": people,
-        "stg_ai_summaries": stg_summaries(spark, d),
+        "stg_ai_summaries": staging.stg_ai_summaries(people),
         "fct_ltv": marts.fct_ltv(billing, RUN_DATE),
-        "fct_pipeline": pipeline(spark, d),
+        "fct_pipeline": marts.fct_pipeline(people, billing, RUN_DATE),
         "fct_ai_performance": marts.fct_ai_performance(people),
     }
     counts = [m.agg(F.lit(name).alias("model"), F.count("*").alias("n_rows")) for name, m in models.items()]
