@@ -24,6 +24,8 @@ def attach_group_totals(rows: DataFrame, key: str, totals: list[Column]) -> Data
 
     The same result as an unordered window, which would send each group to one
     task. Here the aggregation combines before its shuffle and is joined back.
+    ``rows`` is read twice, the first time with the aggregated columns only; pass
+    a stored table if it is costly to compute.
     """
     return join_lookup(rows, rows.groupBy(key).agg(*totals), key)
 

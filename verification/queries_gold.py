@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from carelake.operators import quality, sessions
 from carelake.plans import gold
@@ -109,11 +109,11 @@ def vw_pipeline_by_intent(spark, d):
 @query("order_desc_gold", with_tables("fact_interactions") + f"""
 select ai_intent, row_number() over (order by total_potential_brl desc nulls first) as place from ({_BY_INTENT})""")
 def order_desc_gold(spark, d):
-    """The rows keep their order; the place makes it visible to a comparison."""
-    ordered = gold.vw_pipeline_by_intent(fact(spark, d)).select("ai_intent")
-    return ordered.agg(F.collect_list("ai_intent").alias("intents")).select(
-        F.posexplode("intents").alias("position", "ai_intent")
-    ).select("ai_intent", (F.col("position") + 1).alias("place"))
+    """The place of each row; there are as many rows as intents in the contract."""
+    best_first = Window.orderBy(F.desc_nulls_first("total_potential_brl"))
+    return gold.vw_pipeline_by_intent(fact(spark, d)).select(
+        "ai_intent", F.row_number().over(best_first).alias("place")
+    )
 
 
 @query("opt_conversion_by_intent", with_tables("fact_interactions")
