@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
 # Settings the operators rely on. AQE splits skewed join partitions and
 # coalesces small ones; UTC keeps date casts stable.
 SESSION_CONF = {
@@ -33,17 +37,43 @@ def build_session(app_name: str = "carelake", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for an intermediate table.
+def prepare(spark: SparkSession, local_folder: str = "/tmp/carelake-checkpoints") -> None:
+    """Make a session that somebody else built ready for the library.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local-mode session without that setting falls back to a temporary folder.
+    Sends the package to the workers, which may run in any folder. A session on
+    one machine that names no shared folder gets ``local_folder``; a cluster must
+    name one itself.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    ship_package(spark)
+    if not spark.conf.get(CHECKPOINT_DIR, None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(CHECKPOINT_DIR, f"file://{local_folder}")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source files to the workers, once for each application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="carelake-package-"), "carelake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table, in the folder that ``spark.checkpoint.dir`` names."""
+    base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="carelake-")
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     return f"{base.rstrip('/')}/carelake/{uuid.uuid4().hex}/{name}"
 
 
