@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from carelake.llm import mixing, packing, quality_rules, token_frames, warc
+from carelake.llm import mixing, packing, quality_rules, substring_dedup, token_frames, warc
 from carelake.llm.registry import query, table
 
 OP1_SQL = """
@@ -68,6 +69,26 @@ def op6(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+OP7_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+g as (select doc_id, unnest(range(1, len(words) - 48)) as pos, words from d),
+h as (select doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) as hash from g),
+r as (select * from (select doc_id, pos, min(doc_id) over (partition by hash) as least from h) where doc_id > least),
+c as (select distinct doc_id, unnest(range(pos, pos + 50)) as word from r),
+l as (select doc_id, list(word) as gone from c group by doc_id)
+select d.doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(len(gone), 0) as bigint) as n_removed,
+  sha256(array_to_string(case when gone is null then words else
+    list_filter(words, lambda w, i: not list_contains(gone, i)) end, ' ')) as kept_sha256
+from d left join l using (doc_id)
+"""
+
+
+@query("op7_substring_dedup", OP7_SQL)
+def op7(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 OP8_SQL = rf"""
 with d as (select doc_id, coalesce(text, '') as text from documents),
 w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
