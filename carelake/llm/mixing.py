@@ -48,7 +48,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs:
     return shared.withColumn("target", target).select("source", "rank", "weight", "source_size", "target")
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: str = SEED) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: str = SEED,
+        carry: tuple[str, ...] = ()) -> DataFrame:
     """Columns (doc_id, source, text) -> one row per document: doc_id, source, size, source_size, target, taken, times.
 
     Every source is shuffled by a seeded digest and repeated up to ``epochs``
@@ -56,13 +57,13 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     over the source's target. Items of all sources are sorted by finish time by
     range, and taken while their running total stays within the total size.
     Sizes are words, so empty and null texts have size 0 and are taken 0 times.
-    A null source is a source of its own. Repeated rows are separate documents.
+    A null source is a source of its own. Columns in ``carry`` are kept. Repeated rows are separate documents.
     Two range sorts of narrow rows; no source is gathered in one task. Extra
     columns are ignored. An empty table gives an empty table.
     """
     size = word_count(F.col("text"))
     rows = documents.select(
-        "doc_id", "source", size.alias("size"),
+        "doc_id", "source", *carry, size.alias("size"),
         F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("shuffle"))
     by_source = [F.col("source").asc_nulls_last(), F.col("shuffle"), F.col("doc_id"), F.col("size")]
     rows = running_totals(rows, by_source, "size", "mix-rows")
@@ -86,6 +87,6 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     taken = (queue.where(F.col("before") + F.col("size") <= budget)
              .groupBy("row_part", "row_place").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("count")))
     return (known.join(taken, (F.col("part") == F.col("row_part")) & (F.col("place") == F.col("row_place")), "left")
-            .select("doc_id", "source", "size", "source_size", "target",
+            .select("doc_id", "source", *carry, "size", "source_size", "target",
                     F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
                     F.coalesce("count", F.lit(0)).cast("long").alias("times")))

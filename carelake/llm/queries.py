@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from carelake.llm import mixing, packing, quality_rules, substring_dedup, token_frames, warc
+from carelake.llm import fingerprints, mixing, packing, parity_join, quality_rules, substring_dedup, token_frames, warc
 from carelake.llm.registry import query, table
 
 OP1_SQL = """
@@ -118,3 +118,30 @@ def op8(spark, sf_dir):
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
+
+
+@query("op9_fingerprints")
+def op9(spark, sf_dir):
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+OP10_SQL = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents),
+g as (select distinct doc_id, array_to_string(words[pos:pos + 3], ' ') as shingle
+  from (select doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) as pos from d where len(words) > 0)),
+n as (select doc_id, count(*) as n from g group by doc_id),
+s as (select doc_id, g.shingle from g join (select shingle from g group by shingle having count(*) > 1) using (shingle)),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as shared from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id
+  group by 1, 2),
+l as (select a, b from p join n u on u.doc_id = a join n v on v.doc_id = b where 100 * shared >= 85 * (u.n + v.n - shared)),
+r as (select doc_id as node, doc_id as reached from documents union select r.node, l.b from r join l on l.a = r.reached),
+c as (select node, min(reached) as component_id from r group by node)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, c.component_id
+from d left join n using (doc_id) join c on c.node = d.doc_id
+"""
+
+
+@query("op10_parity_join", OP10_SQL)
+def op10(spark, sf_dir):
+    return parity_join.link_components(table(spark, sf_dir, "documents")).drop("n_links")
