@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from carelake.llm import fingerprints, mixing, packing, parity_join, quality_rules, substring_dedup, token_frames, warc
+from carelake.llm import fingerprints, mixing, packing, parity_join, quality_rules, substring_dedup, suffix_dedup, token_frames, warc
 from carelake.llm.registry import query, table
 
 OP1_SQL = """
@@ -64,6 +64,12 @@ def op4(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_suffix_dedup")
+def op5(spark, sf_dir):
+    kept = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_packing")
 def op6(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -1,7 +1,7 @@
 """Repeated windows of a corpus, found through runs of windows that share an anchor.
 
 Every window of ``length`` tokens has an anchor: of its grams of ``gram`` tokens,
-the one with the smallest hash. Equal windows have the same anchor at the same
+the one with the smallest hash, the leftmost of several. Equal windows have the same anchor at the same
 place. Consecutive windows of one document with one anchor form a run, so a
 corpus of n tokens has about 2 n / (length - gram) runs, and these, not the
 windows, are counted in Spark. Windows of runs that repeat only in part are
@@ -38,10 +38,10 @@ def values_of(tokens: np.ndarray) -> np.ndarray:
 
 
 def runs_of(values: np.ndarray, firsts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document, first window within the document, windows, anchor hash, run hash) of each run."""
+    """(document, first window within the document, windows, anchor's place in that window, anchor hash, run hash) of each run."""
     n = len(values) - length + 1
     if n <= 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     grams = Prefixes(values, "gram")
     starts = np.arange(len(values) - gram + 1)
     gram_hashes = grams.part(starts, starts + gram)
@@ -52,11 +52,11 @@ def runs_of(values: np.ndarray, firsts: np.ndarray, length: int, gram: int) -> t
     change[1:] = (anchors[1:] != anchors[:-1]) | (owner[1:n] != owner[:n - 1]) | ~inside[:-1]
     begin = np.flatnonzero(change & inside)
     if not len(begin):
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     stops = np.flatnonzero(np.append(change | ~inside, True))
     end = stops[np.searchsorted(stops, begin, side="right")]
     whole = Prefixes(values, "run").part(begin, end - 1 + length) + (end - begin).astype(np.uint64)
-    return (owner[begin], begin - firsts[owner[begin]], end - begin,
+    return (owner[begin], begin - firsts[owner[begin]], end - begin, anchors[begin] - begin,
             gram_hashes[anchors[begin]].astype(np.int64), mix(whole).astype(np.int64))
 
 
@@ -72,7 +72,7 @@ def each_stretch(values: np.ndarray, firsts: np.ndarray, length: int) -> Iterato
 
 RUNS = T.StructType([
     T.StructField("doc", T.LongType()), T.StructField("copy", T.LongType()), T.StructField("start", T.IntegerType()),
-    T.StructField("windows", T.IntegerType()), T.StructField("anchor", T.LongType()), T.StructField("run", T.LongType())])
+    T.StructField("windows", T.IntegerType()), T.StructField("at", T.IntegerType()), T.StructField("anchor", T.LongType()), T.StructField("run", T.LongType())])
 
 
 def emit_runs(tokens: Tokens, length: int, gram: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -83,12 +83,12 @@ def emit_runs(tokens: Tokens, length: int, gram: int) -> Callable[[Iterator[pa.R
             data, offsets = text_bytes(batch.column(2))
             for first, last in pieces(offsets):
                 found, firsts = tokens(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
-                for part, bounds, at in each_stretch(found, firsts, length):
-                    owner, start, windows, anchor, run = runs_of(values_of(part), bounds, length, gram)
+                for part, bounds, ahead in each_stretch(found, firsts, length):
+                    owner, start, windows, at, anchor, run = runs_of(values_of(part), bounds, length, gram)
                     if len(owner):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(ids[0][first + owner]), pa.array(ids[1][first + owner]),
-                             pa.array((start + at).astype(np.int32)), pa.array(windows.astype(np.int32)),
+                             pa.array((start + ahead).astype(np.int32)), pa.array(windows.astype(np.int32)), pa.array(at.astype(np.int32)),
                              pa.array(anchor), pa.array(run)], names=RUNS.names)
 
     return scan
