@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from carelake.llm import fingerprints, mixing, packing, parity_join, quality_rules, substring_dedup, suffix_dedup, token_frames, warc
+from carelake.llm import fingerprints, mixing, packing, page_text, parity_join, quality_rules, substring_dedup, suffix_dedup, token_frames, warc
 from carelake.llm.registry import query, table
 
 OP1_SQL = """
@@ -32,6 +32,11 @@ def op2(spark, sf_dir):
     return token_frames.token_index(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_page_text")
+def op3(spark, sf_dir):
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
 OP4_SQL = r"""
 with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
     md5('mix|' || coalesce(cast(doc_id as varchar), '')) as shuffle from documents),
