@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -21,6 +22,7 @@ DATE = "1970-01-01T00:00:00Z"
 # Fixed values of the format.
 MAGIC = b"WARC/1.1\r\n"
 BREAK = b"\r\n\r\n"
+GZIP = b"\x1f\x8b"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ID = "urn:page:"
 _FIELD = re.compile(rb"^([A-Za-z-]+): (.*)$")
@@ -60,7 +62,8 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
 
     Revisits carry the digest and length of the full payload and no block. Spark's
     text writer ends each row with the two line breaks that end a record. Line
-    breaks in an address are escaped; a null address has no field.
+    breaks in an address are escaped; a null address has no field. Each file is
+    compressed as a whole.
     """
     revisit = F.col("refers_to").isNotNull()
     address = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
@@ -77,7 +80,8 @@ def write_archives(pages: DataFrame, path: str, records_per_file: int = RECORDS_
         F.lit("\r\nContent-Length: "), F.when(revisit, F.lit("0")).otherwise(F.col("bytes").cast("string")),
         F.lit(BREAK.decode()), F.when(revisit, F.lit("")).otherwise(F.col("payload")))
     (with_roles(pages, min_bytes).select(text.alias("value")).write
-     .option("lineSep", BREAK.decode()).option("maxRecordsPerFile", records_per_file).text(path))
+     .option("lineSep", BREAK.decode()).option("maxRecordsPerFile", records_per_file)
+     .option("compression", "gzip").text(path))
 
 
 def fields_of(head: bytes) -> dict[str, str]:
@@ -143,6 +147,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for path_, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows, content = [], value.as_py()
+                if content[:2] == GZIP:
+                    content = gzip.decompress(content)
                 for offset, after, start, fields in candidates(content):
                     kind = fields.get("warc-type", "")
                     if kind == "revisit":
