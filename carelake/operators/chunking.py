@@ -79,14 +79,17 @@ def chunk_fixed_window(documents: DataFrame, size: int = CHUNK_SIZE, overlap: in
 
     The last window is the first that reaches the end of the text.
     """
+    if not 0 <= overlap < size:
+        raise ValueError("the overlap must be smaller than the window")
     stride = size - overlap
     length = F.length("text")
     windows = F.greatest(F.ceil((length - F.lit(overlap)) / F.lit(stride)), F.lit(1)).cast("int")
-    # Pieces of one stride, each then extended by the start of the next. Cutting
+    # Pieces of one stride, each then extended by the start of what follows. Cutting
     # by position instead would scan a long text once per window.
     pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{stride}}}"), 0)
-    following = F.slice("pieces", F.lit(2), F.size("pieces"))
-    joined = F.zip_with("pieces", following, lambda p, n: F.concat(p, F.coalesce(F.left(n, F.lit(overlap)), F.lit(""))))
+    needed = -(-overlap // stride)
+    joined = F.transform("pieces", lambda p, i: F.concat(
+        p, F.left(F.array_join(F.slice("pieces", i + 2, F.lit(needed)), ""), F.lit(overlap))))
     return (
         documents.where(length > 0)
         .select("doc_id", windows.alias("windows"), pieces.alias("pieces"))

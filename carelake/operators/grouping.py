@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left", nulls_meet: bool = False) -> DataFrame:
     """Join rows with a table that has one row per key, whatever the key's skew.
 
+    A NULL key meets nothing, unless ``nulls_meet``.
+
     A small lookup is broadcast by the optimizer's own size check. Otherwise
     adaptive execution splits a hot key's rows over many tasks, but only where
     both join sides come straight out of a shuffle. A lookup that was just
@@ -15,7 +17,7 @@ def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left")
     null-safe comparison gives it a shuffle of its own, of one row per key.
     """
     other = "__lookup_key"
-    renamed = lookup.withColumnRenamed(key, other)
+    renamed = (lookup if nulls_meet else lookup.where(F.col(key).isNotNull())).withColumnRenamed(key, other)
     return rows.join(renamed, F.col(key).eqNullSafe(F.col(other)), how).drop(other)
 
 
@@ -27,7 +29,7 @@ def attach_group_totals(rows: DataFrame, key: str, totals: list[Column]) -> Data
     ``rows`` is read twice, the first time with the aggregated columns only; pass
     a stored table if it is costly to compute.
     """
-    return join_lookup(rows, rows.groupBy(key).agg(*totals), key)
+    return join_lookup(rows, rows.groupBy(key).agg(*totals), key, nulls_meet=True)
 
 
 def number_rows(rows: DataFrame, unique_text: Column, number: str) -> DataFrame:

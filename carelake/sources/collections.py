@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def replace_collections(vectors: DataFrame, path: str) -> None:
@@ -21,8 +21,10 @@ def replace_collections(vectors: DataFrame, path: str) -> None:
 
 def read_collection(spark: SparkSession, path: str, collection: str) -> DataFrame:
     """One collection; the equality prunes every other folder."""
-    schema_hint = spark.read.parquet(path)
-    return schema_hint.where(F.col("collection").cast("string") == F.lit(collection))
+    found = spark.read.parquet(path).schema
+    # Declared as text: a name like 007 would be read as a number.
+    named = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "collection" else f for f in found])
+    return spark.read.schema(named).parquet(path).where(F.col("collection") == F.lit(collection))
 
 
 def check_width(vectors: DataFrame, column: str, width: int) -> DataFrame:

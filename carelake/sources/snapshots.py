@@ -17,13 +17,9 @@ _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 def write_snapshot(df: DataFrame, table_dir: str, run_date: dt.date) -> None:
     """Write one day's full snapshot, replacing that day and no other."""
-    (
-        df.withColumn("dt", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt")
-        .parquet(table_dir)
-    )
+    # The day's own folder is overwritten, so an empty export replaces it as well.
+    day = f"{table_dir.rstrip('/')}/dt={run_date.isoformat()}"
+    df.drop("dt").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(day)
 
 
 def snapshot_days(spark: SparkSession, table_dir: str) -> dict[str, str]:
@@ -62,15 +58,18 @@ def scan_union_by_name(
 
     Daily files may disagree: other decimal widths, integers that became
     doubles because of a NULL, all-NULL columns stored as INT32, columns that
-    come and go. Folders with equal schemas are read together, so the plan has
-    one branch per distinct schema and not one per day.
+    come and go; so may the files of one day. Files with equal schemas are read
+    together, so the plan has one branch per distinct schema and not one per file.
     """
     folders = list(snapshot_days(spark, table_dir).values())
+    if not folders:
+        raise ValueError(f"{table_dir} has no day folder")
+    files = spark.read.option("basePath", table_dir).parquet(*folders).inputFiles()
     with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
-        file_schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, folders))
+        file_schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
     groups: dict[str, list[str]] = defaultdict(list)
-    for folder, schema in zip(folders, file_schemas):
-        groups[schema.json()].append(folder)
+    for file, schema in zip(files, file_schemas):
+        groups[schema.json()].append(file)
     if keep_dt:
         target = T.StructType([*target.fields, T.StructField("dt", T.DateType(), True)])
     branches = [
@@ -100,7 +99,8 @@ def _conform_column(source: DataFrame, wanted: T.StructField) -> Column:
 
 def _from_nanoseconds(column: Column) -> Column:
     """A zone-free timestamp from nanoseconds since 1970 (sub-microseconds drop)."""
-    seconds = (F.floor(column / 1000) / F.lit(1000000)).cast("decimal(18,6)")
+    whole = (column - F.pmod(column, F.lit(1000))).cast("decimal(20,0)")
+    seconds = (whole / F.lit(1_000_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 

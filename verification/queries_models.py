@@ -95,10 +95,9 @@ def filter_valid_billing(spark, d):
     return staging.valid_billing(billing(spark, d))
 
 
-@query("filter_nonnull_key", with_tables("billing")
-       + "select id, contato_id, cast(valor as double) as valor from billing where contato_id is not null")
+@query("filter_nonnull_key", with_tables("contacts") + "select id, c_aisummary from contacts where id is not null")
 def filter_nonnull_key(spark, d):
-    return billing(spark, d).where(F.col("contato_id").isNotNull()).select("id", "contato_id", "valor")
+    return contacts_raw(spark, d).where(F.col("id").isNotNull()).select("id", "c_aisummary")
 
 
 @query("filter_nonblank_summary", with_tables("contacts")
