@@ -20,7 +20,7 @@ def assign_sessions(
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     gap = F.lit(int(gap_seconds * _MICROS))
-    placed = messages.where(F.col(key).isNotNull()).withColumn("__us", micros).withColumn(
+    placed = messages.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withColumn("__us", micros).withColumn(
         "__bucket", F.floor(F.col("__us") / F.lit(bucket_seconds * _MICROS))
     )
     inside = Window.partitionBy(key, "__bucket").orderBy("__us")
@@ -56,27 +56,37 @@ def _bucket_summaries(local: DataFrame, key: str) -> DataFrame:
     )
 
 
+def unplaced_messages(messages: DataFrame, key: str, ts: str) -> DataFrame:
+    """Messages that belong to no session, with the column that is missing as ``reason``."""
+    reason = F.when(F.col(key).isNull(), F.lit(key)).when(F.col(ts).isNull(), F.lit(ts))
+    return messages.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def session_messages(messages: DataFrame, key: str, ts: str, order: str, text: str, gap_seconds: float) -> DataFrame:
+    """One row per message: key, session_start, its position from 1, and its text.
+
+    For sessions too long for one row: nothing is collected, and the sort that
+    numbers a session can spill.
+    """
+    started = assign_sessions(messages.select(key, ts, order, text), key, ts, gap_seconds)
+    inside = Window.partitionBy(key, "session_start").orderBy(ts, order, text)
+    return started.select(key, "session_start", F.row_number().over(inside).alias("position"), text)
+
+
 def conversation_sessions(
-    messages: DataFrame, key: str, ts: str, order: str, text: str, gap_seconds: float,
-    segment_seconds: int = 3600,
+    messages: DataFrame, key: str, ts: str, order: str, text: str, gap_seconds: float
 ) -> DataFrame:
     """One row per session with its texts joined by newlines, in order.
 
-    A session longer than ``segment_seconds`` continues in further rows,
-    numbered by ``segment``, so that no task collects an endless conversation.
-    Nothing is cut: the segments of a session, in order, hold its whole text.
+    A row holds a whole session; ``session_messages`` is the form for endless
+    ones. Messages without a key or a time are in ``unplaced_messages``.
     """
     started = assign_sessions(messages.select(key, ts, order, text), key, ts, gap_seconds)
-    age = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros("session_start")
-    return (
-        started.withColumn("segment", F.floor(age / F.lit(segment_seconds * _MICROS)))
-        .groupBy(key, "session_start", "segment")
-        .agg(
-            F.count("*").alias("n_messages"),
-            F.min(ts).alias("first_message"),
-            F.max(ts).alias("last_message"),
-            ordered_text([ts, order], text).alias("text"),
-        )
+    return started.groupBy(key, "session_start").agg(
+        F.count("*").alias("n_messages"),
+        F.min(ts).alias("first_message"),
+        F.max(ts).alias("last_message"),
+        ordered_text([ts, order], text).alias("text"),
     )
 
 
@@ -86,10 +96,6 @@ def ordered_text(order: list[str], text: str) -> Column:
     return F.array_join(F.transform(pieces, lambda p: p[text]), "\n")
 
 
-def conversation_concat(turns: DataFrame, segment_turns: int = 1000) -> DataFrame:
-    """Turns of a conversation joined in order, in rows of at most so many turns."""
-    return (
-        turns.withColumn("segment", F.floor(F.col("turn") / F.lit(segment_turns)))
-        .groupBy("conv_id", "segment")
-        .agg(F.count("*").alias("n_turns"), ordered_text(["turn"], "text").alias("text"))
-    )
+def conversation_concat(turns: DataFrame) -> DataFrame:
+    """One row per conversation with its turns joined in order."""
+    return turns.groupBy("conv_id").agg(F.count("*").alias("n_turns"), ordered_text(["turn"], "text").alias("text"))

@@ -45,17 +45,19 @@ def embed_chunks(chunks: DataFrame, embedder: PipelineModel | Embedder) -> DataF
     return embedded.select(*chunks.columns, vector_to_array("vector", "float32").alias("embedding"))
 
 
-def search_results(ranked: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(query_id, results): texts with relevance, nearest first.
+def search_results(ranked: DataFrame, chunks: DataFrame, questions: DataFrame) -> DataFrame:
+    """(query_id, results): texts with relevance, nearest first, for each question's id.
 
-    ``ranked`` holds at most k rows per query; ``chunks`` has id and text.
+    ``ranked`` holds at most k rows per query; ``chunks`` has id and text. A
+    question without hits, or whose hits have no text here, has no results.
     """
     texts = chunks.select(F.col("id").alias("chunk_id"), "text")
-    hits = ranked.join(texts, "chunk_id")
-    ordered = F.sort_array(F.collect_list(F.struct("place", "text", "relevance")))
-    return hits.groupBy("query_id").agg(
-        F.transform(ordered, lambda h: F.struct(h["text"].alias("texto"), h["relevance"].alias("relevancia"))).alias("results")
-    )
+    hits = ranked.join(texts, "chunk_id").select("query_id", F.struct("place", "text", "relevance").alias("hit"))
+    found = hits.groupBy("query_id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
+    shown = F.transform(F.coalesce("hits", F.array().cast(found.schema["hits"].dataType)),
+                        lambda h: F.struct(h["text"].alias("texto"), h["relevance"].alias("relevancia")))
+    return (questions.select(F.col("id").alias("query_id")).join(found, "query_id", "left")
+            .select("query_id", shown.alias("results")))
 
 
 def rag_lines(results: DataFrame) -> DataFrame:

@@ -134,10 +134,13 @@ def test_ingest_search_and_block(spark):
     query = knowledge.embed_chunks(asked, embedder).select(
         F.col("doc_id").alias("id"), F.lit("docs").alias("collection"), F.col("embedding").alias("vec")
     )
-    results = knowledge.search_results(vectors.topk_cosine(query, stored, 2), docs.withColumnRenamed("doc_id", "id"))
-    first = results.first().results
+    asked = query.select("id").union(spark.range(10**6, 10**6 + 1))
+    results = knowledge.search_results(vectors.topk_cosine(query, stored, 2), docs.withColumnRenamed("doc_id", "id"), asked)
+    first = results.where("query_id = 100").first().results
     assert len(first) == 2 and first[0].texto == "Teeth whitening session price"
-    block = knowledge.rag_block(results).first().block
+    blocks = {r.query_id: r.block for r in knowledge.rag_block(results).collect()}
+    assert blocks.keys() == {100, 10**6} and blocks[10**6] == ""
+    block = blocks[100]
     assert block.startswith("\nCLINIC KNOWLEDGE BASE CONTEXT") and f"% relevant] {first[0].texto}\n" in block
     empty = results.select("query_id", F.slice("results", 1, 0).alias("results"))
     assert knowledge.rag_block(empty).first().block == ""

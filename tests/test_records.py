@@ -242,11 +242,22 @@ def test_sessions_equal_by_hand(spark, seed):
         for r in placed.orderBy("user_id", "ts", "event_id").collect():
             got.setdefault((r.user_id, r.session_start.replace(tzinfo=None)), []).append(r.text)
         assert got == expected
-    whole = sessions.conversation_sessions(frame, "user_id", "ts", "event_id", "text", 15, segment_seconds=30)
-    rejoined = {}
-    for r in whole.orderBy("user_id", "session_start", "segment").collect():
-        rejoined.setdefault((r.user_id, r.session_start.replace(tzinfo=None)), []).extend(r.text.split("\n"))
-    assert rejoined == expected
+    whole = sessions.conversation_sessions(frame, "user_id", "ts", "event_id", "text", 15)
+    joined = {(r.user_id, r.session_start.replace(tzinfo=None)): r.text.split("\n") for r in whole.collect()}
+    assert joined == expected
+    single = {}
+    for r in sessions.session_messages(frame, "user_id", "ts", "event_id", "text", 15).orderBy("position").collect():
+        single.setdefault((r.user_id, r.session_start.replace(tzinfo=None)), []).append(r.text)
+    assert single == expected
+
+
+def test_messages_without_key_or_time_are_set_aside(spark):
+    rows = [(1, START, 1, "a"), (None, START, 2, "b"), (1, None, 3, "c"), (None, None, 4, "d")]
+    frame = spark.createDataFrame(rows, "user_id int, ts timestamp_ntz, event_id int, text string")
+    aside = {r.event_id: r.reason for r in sessions.unplaced_messages(frame, "user_id", "ts").collect()}
+    assert aside == {2: "user_id", 3: "ts", 4: "user_id"}
+    placed = sessions.conversation_sessions(frame, "user_id", "ts", "event_id", "text", 15).collect()
+    assert [(r.n_messages, r.text) for r in placed] == [(1, "a")]
 
 
 def test_session_gap_is_inclusive(spark):
@@ -273,6 +284,6 @@ def test_stream_emits_closed_sessions(spark, tmp_path):
 
 def test_long_conversation_keeps_all_turns(spark):
     turns = spark.range(25).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.concat(F.lit("t"), "id").alias("text"))
-    rows = sessions.conversation_concat(turns, segment_turns=10).orderBy("segment").collect()
-    assert [r.n_turns for r in rows] == [10, 10, 5]
-    assert "\n".join(r.text for r in rows) == "\n".join(f"t{i}" for i in range(25))
+    row = sessions.conversation_concat(turns).first()
+    assert row.n_turns == 25
+    assert row.text == "\n".join(f"t{i}" for i in range(25))

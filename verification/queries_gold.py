@@ -148,13 +148,11 @@ def sessions_sql(gap_seconds: int) -> str:
     select *, case when ts - lag(ts) over (partition by user_id order by ts) <= interval {gap_seconds} second
                    then 0 else 1 end as opens from messages),
 numbered as (select *, sum(opens) over (partition by user_id order by ts range unbounded preceding) as session from flagged),
-started as (select *, min(ts) over (partition by user_id, session) as session_start from numbered),
-segmented as (select *, (epoch_us(ts) - epoch_us(session_start)) // 3600000000 as segment from started)
-select user_id, strftime(session_start, '%Y-%m-%d %H:%M:%S.%f') as session_start, cast(segment as bigint) as segment,
-       count(*) as n_messages, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_message,
+started as (select *, min(ts) over (partition by user_id, session) as session_start from numbered)
+select user_id, strftime(session_start, '%Y-%m-%d %H:%M:%S.%f') as session_start, count(*) as n_messages, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as first_message,
        strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') as last_message,
        string_agg(text, chr(10) order by ts, event_id) as text
-from segmented group by user_id, session_start, segment"""
+from started group by user_id, session_start"""
 
 
 def _sessions(spark, d, gap):
@@ -173,7 +171,7 @@ def conversation_sessions_hour_gap(spark, d):
 
 
 @query("conversation_concat", """
-select conv_id, turn // 1000 as segment, count(*) as n_turns, string_agg(text, chr(10) order by turn, text) as text
-from conversations group by conv_id, turn // 1000""")
+select conv_id, count(*) as n_turns, string_agg(text, chr(10) order by turn, text) as text
+from conversations group by conv_id""")
 def conversation_concat(spark, d):
     return sessions.conversation_concat(tables.table(spark, d, "conversations"))

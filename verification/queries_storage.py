@@ -237,14 +237,34 @@ def topk_ann_lsh(spark, d):
     return vectors.topk_lsh(points, points, model, 3).drop("cosine")
 
 
-@query("rag_block", _SCORES_SQL + """
-select query_id, string_agg('  - [' || cast(round_even(round(cosine, 2) * 100, 0) as integer) || '% relevant] ' || d.text,
-                            chr(10) order by place) as lines
-from ranked join documents d on d.doc_id = chunk_id where place <= 3 group by query_id""")
-def rag_block(spark, d):
+_LINES_SQL = _SCORES_SQL + """, hits as (
+    select query_id, string_agg('  - [' || cast(round_even(round(cosine, 2) * 100, 0) as integer) || '% relevant] ' || d.text,
+                                chr(10) order by place) as lines
+    from ranked join documents d on d.doc_id = chunk_id where place <= 3 group by query_id),
+lined as (select vec_id as query_id, coalesce(lines, '') as lines from embeddings left join hits on query_id = vec_id)
+"""
+
+
+def _results(spark, d):
     points = _vectors(spark, d)
     texts = tables.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
-    return knowledge.rag_lines(knowledge.search_results(vectors.topk_cosine(points, points, 3), texts))
+    return knowledge.search_results(vectors.topk_cosine(points, points, 3), texts, points)
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+@query("rag_lines", _LINES_SQL + "select query_id, lines from lined")
+def rag_lines(spark, d):
+    return knowledge.rag_lines(_results(spark, d))
+
+
+@query("rag_block", _LINES_SQL + f"""
+select query_id, case when lines = '' then '' else
+    {_literal(knowledge.BLOCK_HEAD)} || lines || {_literal(knowledge.BLOCK_TAIL)} end as block from lined""")
+def rag_block(spark, d):
+    return knowledge.rag_block(_results(spark, d))
 
 
 # -- streams ---------------------------------------------------------------------
