@@ -72,8 +72,9 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, gram: int = GRAM)
     """
     runs = stored(keyed(documents).mapInArrow(emit_runs(words, window, gram), RUNS), "runs")
     shared = (runs.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-              .where("low < high").select("anchor", "low"))
-    live = stored(runs.join(shared, "anchor"), "live-runs")
+              .where("low < high").select(F.col("anchor").alias("shared_anchor"), "low"))
+    # The null-safe comparison shuffles the aggregate anew; only then can a hot anchor's runs be split.
+    live = stored(runs.join(shared, F.col("anchor").eqNullSafe(F.col("shared_anchor"))).drop("shared_anchor"), "live-runs")
     kinds = live.groupBy("anchor", "run", "low").agg(
         F.min(F.struct("doc", "copy", "start", "windows")).alias("head"))
     heads = stored(kinds.select("anchor", "run", "low", "head.*"), "run-heads")
