@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 # A word is a run of bytes that are none of these.
 SPACES = b" \t\n\x0b\x0c\r"
 # Texts are taken together until a piece has so many bytes; a longer text is a piece of its own.
-PIECE_BYTES = 1_500_000
+PIECE_BYTES = 600_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[list(SPACES)] = True
@@ -58,7 +58,7 @@ def powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
         size = max(n, PIECE_BYTES + 1 if kind == "byte" else 400_000)
         base = _BASES[kind]
         have = _ladder(base, size), _ladder(pow(base, -1, 1 << 64), size)
-        if size <= 4 * PIECE_BYTES:  # an outsized text's tables are not kept
+        if size <= 10 * PIECE_BYTES:  # an outsized text's tables are not kept
             _powers[kind] = have
     return have
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -17,6 +18,8 @@ from carelake.llm.arrays import Prefixes, byte_values, pieces, text_bytes, word_
 
 # Segments remembered by a worker before it starts anew.
 REMEMBERED = 1_000_000
+# Segments handed to the tokenizer at a time.
+LEARNED = 20_000
 # Bytes that white space, in the widest sense, can begin with in UTF-8.
 _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -35,6 +38,42 @@ def _spaced_bounds(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
     return starts, ends, np.searchsorted(starts, bounds)
 
 
+class Numbers:
+    """Numbers 0, 1, ... of distinct 64-bit keys in the order they came.
+
+    An open-addressing table of arrays, asked for many keys at a time. At most
+    half of its places are taken, so a key is found in a few steps.
+    """
+
+    def __init__(self, most: int):
+        size = 1 << (2 * most - 1).bit_length()
+        self.mask, self.most, self.count = np.uint64(size - 1), most, 0
+        self.keys, self.numbers = np.zeros(size, np.uint64), np.zeros(size, np.int32)  # a free place has 0, others number + 1
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key; -1 if unknown."""
+        out, left, at = np.full(len(keys), -1, np.int64), np.arange(len(keys)), keys & self.mask
+        while len(left):
+            number = self.numbers[at]
+            same = (number > 0) & (self.keys[at] == keys[left])
+            out[left[same]] = number[same] - 1
+            on = (number > 0) & ~same
+            left, at = left[on], (at[on] + np.uint64(1)) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Give the next numbers to distinct keys that are unknown so far."""
+        own = np.arange(self.count + 1, self.count + 1 + len(keys), dtype=np.int32)
+        left, at = np.arange(len(keys)), keys & self.mask
+        while len(left):
+            free = self.numbers[at] == 0
+            self.numbers[at[free]] = own[left[free]]  # of several keys for one place one stays, the others go on
+            won = self.numbers[at] == own[left]
+            self.keys[at[won]] = keys[left[won]]
+            left, at = left[~won], (at[~won] + np.uint64(1)) & self.mask
+        self.count += len(keys)
+
+
 class TokenBytes:
     """Encodes texts to ids, four bytes each in little-endian order.
 
@@ -63,26 +102,27 @@ class TokenBytes:
             cls._open[path] = cls(path)
         return cls._open[path]
 
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+    def _forget(self, most: int = REMEMBERED) -> None:
+        self.known = Numbers(most)
         self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
-        self.starts, self.lengths = np.zeros(REMEMBERED + 1, np.int64), np.zeros(REMEMBERED + 1, np.int64)
+        self.starts, self.lengths = np.zeros(most, np.int64), np.zeros(most, np.int32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
-        for hash_, encoded in zip(hashes, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            found = encoded.ids
-            n, at = len(found), len(self.known)
+    def _learn(self, keys: np.ndarray, texts: Iterator[str]) -> None:
+        """Encode and remember segments, a limited number at a time: the tokenizer's own results are large."""
+        for first in range(0, len(keys), LEARNED):
+            own = keys[first:first + LEARNED]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(list(islice(texts, len(own))), add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int32, len(found))
+            n, at = int(lengths.sum()), self.known.count
             if self.used + n > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(n, len(self.ids)), np.uint32)])
-            self.ids[self.used:self.used + n] = found
-            if at >= len(self.starts):  # more distinct segments in one piece than are remembered
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            self.starts[at], self.lengths[at] = self.used, n
-            self.known[hash_] = at
+                self.ids = np.concatenate([self.ids, np.zeros(max(n, len(self.ids) // 2), np.uint32)])
+            self.ids[self.used:self.used + n] = np.fromiter(chain.from_iterable(found), np.uint32, n)
+            self.starts[at:at + len(own)] = self.used + np.cumsum(lengths) - lengths
+            self.lengths[at:at + len(own)] = lengths
+            self.known.add(own)
             self.used += n
 
     def _piece(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,15 +134,13 @@ class TokenBytes:
         codes, distinct = pd.factorize(hashes)
         example = np.empty(len(distinct), np.int64)
         example[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        if len(self.known) + len(distinct) > REMEMBERED:
-            self._forget()
-        keys = distinct.tolist()
-        fresh = [i for i, key in enumerate(keys) if key not in self.known]
-        blob = data.tobytes()
-        self._learn([keys[i] for i in fresh],
-                    [blob[a:b].decode("utf-8", "replace") for a, b in zip(starts[example[fresh]], ends[example[fresh]])])
-        slots = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[codes]
-        lengths = self.lengths[slots]
+        if self.known.count + len(distinct) > self.known.most:
+            self._forget(max(REMEMBERED, len(distinct)))
+        fresh = example[self.known.find(distinct) < 0]
+        blob = memoryview(data)
+        self._learn(hashes[fresh], (str(blob[a:b], "utf-8", "replace") for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())))
+        slots = self.known.find(distinct)[codes]
+        lengths = self.lengths[slots].astype(np.int64)
         ahead = np.concatenate([[0], np.cumsum(lengths)])
         take = np.repeat(self.starts[slots] - ahead[:-1], lengths) + np.arange(ahead[-1])
         return self.ids[take], ahead[firsts]
