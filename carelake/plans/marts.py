@@ -104,11 +104,22 @@ def contact_totals(contacts: DataFrame) -> DataFrame:
 
 
 def summaries_with_contacts(summaries: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Each summary with each row of its contact: the summary's columns and the contact's value columns.
+
+    The row-level join: where a key repeats on both sides (several snapshots), every
+    pair is a row. NULL keys meet nothing. Pass sides that were not just aggregated by
+    the key: then both are shuffled and adaptive execution splits a hot key. For totals use
+    ``summaries_with_contact_totals`` or ``fct_ai_performance``, which build no pairs.
+    """
+    return summaries.join(contacts.select("contato_hash", *_CONTACT_TOTALS), "contato_hash")
+
+
+def summaries_with_contact_totals(summaries: DataFrame, contacts: DataFrame) -> DataFrame:
     """Each summary with its contact's totals.
 
-    One row per summary even when a key repeats on both sides (several
-    snapshots): the contact side is reduced to one row per key first, so the
-    output never grows with the product of the two group sizes.
+    One row per summary even when a key repeats on both sides: the contact side
+    is reduced to one row per key first, so the output never grows with the
+    product of the two group sizes.
     """
     return join_lookup(summaries, contact_totals(contacts), "contato_hash", "inner")
 

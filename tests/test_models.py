@@ -80,6 +80,18 @@ def test_ai_performance_equals_the_row_join(spark):
     assert got["ok"].coverage_pct == round(expected["ok"][0] * 100.0 / len(rows), 2)
 
 
+def test_summaries_meet_every_row_of_their_contact(spark):
+    summaries = spark.createDataFrame([("a", "ok"), ("a", "too_short"), (None, "ok"), ("z", "ok")],
+                                      "contato_hash string, summary_quality string")
+    contacts = spark.createDataFrame([("a", 1, 2, 3), ("a", 4, None, 6), (None, 7, 8, 9), ("b", 1, 1, 1)],
+                                     "contato_hash string, lifetime_value int, potencial_venda int, qtd_consultas int")
+    rows = marts.summaries_with_contacts(summaries, contacts).collect()
+    assert sorted((r.contato_hash, r.summary_quality, r.lifetime_value) for r in rows) == [
+        ("a", "ok", 1), ("a", "ok", 4), ("a", "too_short", 1), ("a", "too_short", 4)]
+    totals = marts.summaries_with_contact_totals(summaries, contacts).collect()
+    assert sorted((r.summary_quality, r.n_rows, r.sum_ltv, r.n_pot) for r in totals) == [("ok", 2, 5, 1), ("too_short", 2, 5, 1)]
+
+
 def test_ai_performance_without_contacts(spark):
     assert marts.fct_ai_performance(staging.stg_contacts(contact_rows(spark, []), "s")).collect() == []
 

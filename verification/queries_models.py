@@ -188,6 +188,16 @@ def join_left_contacts_billing(spark, d):
 
 
 @query("join_inner_summaries_contacts", with_tables("stg_ai_summaries") + """
+select s.contato_hash, s.summary_quality, cast(s.summary_length as bigint) as summary_length,
+       cast(c.lifetime_value as double) as lifetime_value, cast(c.potencial_venda as double) as potencial_venda,
+       cast(c.qtd_consultas as bigint) as qtd_consultas
+from stg_ai_summaries s inner join stg_contacts c on s.contato_hash = c.contato_hash""")
+def join_inner_summaries_contacts(spark, d):
+    summaries = stg_summaries(spark, d).select("contato_hash", "summary_quality", "summary_length")
+    return marts.summaries_with_contacts(summaries, stg_contacts(spark, d))
+
+
+@query("summaries_with_contact_totals", with_tables("stg_ai_summaries") + """
 select s.contato_hash, s.summary_quality, s.summary_length, c.n_rows,
        cast(c.sum_ltv as double) as sum_ltv, c.n_ltv, cast(c.sum_pot as double) as sum_pot, c.n_pot,
        cast(c.sum_vis as bigint) as sum_vis, c.n_vis
@@ -196,9 +206,9 @@ from stg_ai_summaries s join (
            sum(potencial_venda) as sum_pot, count(potencial_venda) as n_pot,
            sum(qtd_consultas) as sum_vis, count(qtd_consultas) as n_vis
     from stg_contacts group by contato_hash) c on s.contato_hash = c.contato_hash""")
-def join_inner_summaries_contacts(spark, d):
+def summaries_with_contact_totals(spark, d):
     summaries = stg_summaries(spark, d).select("contato_hash", "summary_quality", "summary_length")
-    return marts.summaries_with_contacts(summaries, stg_contacts(spark, d))
+    return marts.summaries_with_contact_totals(summaries, stg_contacts(spark, d))
 
 
 @query("fct_ltv", with_tables("fct_ltv") + shown("fct_ltv", LTV_COLUMNS))
