@@ -24,19 +24,19 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 
 def window_rows(documents: DataFrame, asked: DataFrame, window: int) -> DataFrame:
-    """The hash of every window of the runs asked for: (anchor, window_hash, doc, copy, start).
+    """The hash of every window of the runs asked for: (anchor, window_hash, doc, run, offset within the run).
 
-    ``asked`` has a row for each document with an array of its (start, windows, anchor).
+    ``asked`` has a row for each document with an array of its (start, windows, anchor, run).
     """
     schema = T.StructType([T.StructField("anchor", T.LongType()), T.StructField("window_hash", T.LongType()),
-                           T.StructField("doc", T.LongType()), T.StructField("copy", T.LongType()),
-                           T.StructField("start", T.IntegerType())])
+                           T.StructField("doc", T.LongType()), T.StructField("run", T.LongType()),
+                           T.StructField("offset", T.IntegerType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, copies = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            lists = batch.column(3)
-            data, offsets = text_bytes(batch.column(2))
+            docs = batch.column(0).to_numpy()
+            lists = batch.column(2)
+            data, offsets = text_bytes(batch.column(1))
             for first, last in pieces(offsets):
                 hashes, firsts = words(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
                 part = lists.slice(first, last - first)
@@ -45,15 +45,15 @@ def window_rows(documents: DataFrame, asked: DataFrame, window: int) -> DataFram
                 start = runs.field("start").to_numpy().astype(np.int64)
                 count = runs.field("windows").to_numpy().astype(np.int64)
                 every = np.repeat(np.arange(len(owner)), count)
-                at = start[every] + np.arange(len(every)) - np.repeat(np.cumsum(count) - count, count)
-                begin = firsts[owner[every]] + at
+                offset = np.arange(len(every)) - np.repeat(np.cumsum(count) - count, count)
+                begin = firsts[owner[every]] + start[every] + offset
                 found = Prefixes(values_of(hashes), "window").part(begin, begin + window)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(runs.field("anchor").to_numpy()[every]), pa.array(found.astype(np.int64)),
-                     pa.array(docs[first + owner[every]]), pa.array(copies[first + owner[every]]),
-                     pa.array(at.astype(np.int32))], names=schema.names)
+                     pa.array(docs[first + owner[every]]), pa.array(runs.field("run").to_numpy()[every]),
+                     pa.array(offset.astype(np.int32))], names=schema.names)
 
-    rows = keyed(documents).join(asked, ["doc", "copy"]).select("doc", "copy", "text", "asked")
+    rows = keyed(documents).join(asked, ["doc", "copy"]).select("doc", "text", "asked")
     return rows.mapInArrow(scan, schema)
 
 
@@ -66,7 +66,8 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, gram: int = GRAM)
     3. The smallest document's own copy of a run can still hold windows that a
        different run with the same anchor has in a smaller document. There the
        windows are hashed one by one, one copy of each different run, and
-       grouped to their smallest document.
+       grouped to their smallest document. What is found holds wherever the
+       smallest document, or another row with its id, has the run.
     All groups are partial aggregates, and joins back to them can be split, so a
     passage that a third of the documents share needs no task of its own.
     """
@@ -81,11 +82,14 @@ def repeated_spans(documents: DataFrame, window: int = WINDOW, gram: int = GRAM)
     # Runs met first in a later document than their anchor, and all that could cover them.
     doubtful = heads.where("doc > low").select("anchor").distinct()
     asked = (heads.join(doubtful, "anchor").groupBy("doc", "copy")
-             .agg(F.collect_list(F.struct("start", "windows", "anchor")).alias("asked")))
+             .agg(F.collect_list(F.struct("start", "windows", "anchor", "run")).alias("asked")))
     singles = stored(window_rows(documents, asked, window), "windows")
     earliest = singles.groupBy("anchor", "window_hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-    partly = (singles.join(earliest.where("least < most"), ["anchor", "window_hash"]).where("doc > least")
-              .select("doc", "copy", "start", F.lit(1).alias("windows")))
+    # Windows of one run share a gram, so a list has fewer than window - gram + 2 places. Stored, so a hot run's places can be split.
+    met = stored(singles.join(earliest.where("least < most"), ["anchor", "window_hash"]).where("doc > least")
+                 .groupBy("anchor", "run", "doc").agg(F.collect_set("offset").alias("offsets")), "repeated-windows")
+    partly = (live.join(met, ["anchor", "run", "doc"]).select("doc", "copy", "start", F.explode("offsets").alias("offset"))
+              .select("doc", "copy", (F.col("start") + F.col("offset")).alias("start"), F.lit(1).alias("windows")))
     firsts = heads.select("anchor", "run", F.col("doc").alias("head_doc"))
     wholly = (live.join(firsts, ["anchor", "run"]).where("doc > head_doc").select("doc", "copy", "start", "windows"))
     # A document has no more spans than windows, so the lists are bounded by its text.

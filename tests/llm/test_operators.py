@@ -22,6 +22,10 @@ def words(text):
     return re.findall(r"[^ \t-\r]+", text or "")
 
 
+def mixed_words(seed, n):
+    return " ".join(f"w{x}" for x in np.random.default_rng(seed).integers(0, 400, n))
+
+
 def rows(df):
     return [(r.doc_id, r.text or "") for r in df.select("doc_id", "text").collect()]
 
@@ -214,6 +218,28 @@ def test_substring_dedup(odd_documents, no_documents, window, gram):
     assert substring_dedup.remove_repeats(no_documents).count() == 0
 
 
+def test_substring_dedup_takes_every_place_of_a_run(spark):
+    """A run that the head document, or another row with its id, has again loses the same windows there."""
+    passage, mid, tail = mixed_words(50, 60), mixed_words(51, 40), mixed_words(52, 20)
+    again = f"{mixed_words(53, 40)} {passage} {tail} {mixed_words(54, 90)} {mixed_words(55, 33)} {passage} {tail}"
+    data = [(1, f"{mid} {passage} {mixed_words(56, 30)}"), (5, again), (5, f"{mixed_words(57, 25)} {passage} {tail}"),
+            (None, f"{mid} {mixed_words(58, 45)} {mid} {mid} {mixed_words(58, 45)}"), (None, f"{mixed_words(58, 45)} {mixed_words(59, 30)}")]
+    for window, gram in [(50, 14), (20, 5), (5, 2)]:
+        first, expected = {}, Counter()
+        number = lambda d: 1 << 63 if d is None else d
+        for d, t in data:
+            w = words(t)
+            for i in range(len(w) - window + 1):
+                key = tuple(w[i:i + window])
+                first[key] = min(first.get(key, number(d)), number(d))
+        for d, t in data:
+            w = words(t)
+            gone = {j for i in range(len(w) - window + 1) if first[tuple(w[i:i + window])] < number(d) for j in range(i, i + window)}
+            expected[d, len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)] += 1
+        got = substring_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string"), window, gram)
+        assert by_multiset(got, "doc_id", "n_removed", "kept_text") == expected
+
+
 def test_quality_rules(odd_documents, no_documents):
     got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
                   for r in quality_rules.apply_rules(odd_documents, ["doc_id", "spans"]).collect())
