@@ -329,11 +329,12 @@ def linked(documents: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
                             F.xxhash64("text").alias("copy"))
     docs = stored(rows.mapInArrow(set_rows(k), SETS), "sets")
     sets = stored(docs.where("n > 0").groupBy("set").agg(
-        F.min("doc").alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "distinct-sets")
+        F.min(F.struct("doc", "copy")).alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "distinct-sets")
     keys = candidate_keys(rows, k, bands)
-    sketched = stored(keys.join(sets.select("set", "head", "sketch"), "set"), "sketched-keys")
-    wanted = sketched.select("set", "head").distinct()
-    texts = stored(rows.join(wanted, F.col("doc") == F.col("head")).select("set", "text").dropDuplicates(["set"]), "set-texts")
+    sketched = stored(keys.join(sets.select("set", "sketch"), "set"), "sketched-keys")
+    # One id can have many texts, so a set's text is found by the digest as well; each row meets one set at most.
+    wanted = sets.join(keys, "set", "left_semi").select("set", "head.doc", "head.copy")
+    texts = stored(rows.join(wanted, ["doc", "copy"]).select("set", "text").dropDuplicates(["set"]), "set-texts")
     links = None
     for turn in range(HUB_TURNS):
         open_ = open_keys(sketched, links, f"open-keys-{turn}").withColumn("slice", F.floor(F.log("n") / math.log(100 / percent)))
@@ -351,7 +352,7 @@ def linked(documents: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     ends = every.select(F.col("a").alias("node")).unionByName(every.select(F.col("b").alias("node")))
     found = (sets.join(whole.withColumnRenamed("node", "set"), "set", "left")
              .join(ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links")).withColumnRenamed("node", "set"), "set", "left")
-             .select("set", "head", F.coalesce("component", "set").alias("component"), "n_links"))
+             .select("set", F.col("head.doc").alias("head"), F.coalesce("component", "set").alias("component"), "n_links"))
     lowest = found.groupBy("component").agg(F.min("head").alias("lowest"))
     named = stored(found.join(lowest, "component").select("set", "component", "lowest", "n_links"), "set-components")
     return (docs.where("n > 0").join(named, "set")

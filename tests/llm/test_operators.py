@@ -289,3 +289,15 @@ def test_parity_join(odd_documents, no_documents):
     expected = Counter((d, len(s), low) for (d, _), s, low in zip(data, sets, lowest))
     assert by_multiset(parity_join.link_components(odd_documents), "doc_id", "n_shingles", "component_id") == expected
     assert parity_join.link_components(no_documents).count() == 0
+
+
+def test_parity_join_of_texts_that_share_an_id(spark):
+    """Each set is verified by its own text, though others have the same or no doc_id."""
+    texts = [mixed_words(seed, 80) for seed in range(12)]
+    near = [t + " end" for t in texts]
+    data = [(1, t) for t in texts] + [(20 + i, t) for i, t in enumerate(near)]
+    got = parity_join.link_components(spark.createDataFrame(data, "doc_id long, text string"))
+    assert by_multiset(got, "doc_id", "component_id") == Counter([(d, 1) for d, _ in data])
+    data = [(None, t) for t in texts + near] + [(None, texts[0])]
+    kept = [r.text for r in parity_join.one_of_each(spark.createDataFrame(data, "doc_id long, text string")).collect()]
+    assert sorted(t.removesuffix(" end") for t in kept) == sorted(texts)
