@@ -1,5 +1,7 @@
 """The pipeline's stages on a small table."""
 
+import random
+
 import corpus_pipeline
 from carelake.llm.catalog import ORACLES, QUERIES
 
@@ -22,3 +24,30 @@ def test_stages_keep_the_columns_and_pass_on_what_they_keep(spark, odd_documents
         assert sum(r.start == 0 for r in pieces) == counts[-1]
         if start is odd_documents:
             assert counts[1] < counts[0] and {r.doc_id for r in docs.collect()} >= {4, 20}
+
+
+def test_near_copies_link_by_five_words_from_four_fifths_on(spark):
+    """The stage against brute force; some pairs reach 0.8 on five words, but not 0.85 on four."""
+    rng, data = random.Random(9), []
+    for i in range(12):
+        base = [f"w{rng.randrange(500)}" for _ in range(100)]
+        data.append((i, " ".join(base)))
+        for j in range(3):
+            near = list(base)
+            for at in rng.sample(range(5, 95), j + 1):
+                near[at] = "other"
+            data.append((100 + 10 * i + j, " ".join(near)))
+    sets = {k: [{tuple(w[i:i + k]) for i in range(len(w) - k + 1)} for w in (t.split() for _, t in data)] for k in (4, 5)}
+
+    def links(k, percent):
+        s = sets[k]
+        return {(a, b) for a in range(len(s)) for b in range(a) if 100 * len(s[a] & s[b]) >= percent * len(s[a] | s[b])}
+
+    assert links(5, 80) - links(4, 85)
+    lowest = [d for d, _ in data]
+    for _ in data:
+        for a, b in links(5, 80):
+            lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()}
+    assert kept == set(lowest)
