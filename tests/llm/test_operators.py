@@ -103,6 +103,21 @@ def test_page_text(spark):
     assert page_text.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div class='has-sidebar'><article>whole text</article><p>teaser</div>", "whole text"),
+    ("<section id=with-comments><div class='nav-fixed'><div><main><p>whole<p>text</main></div>x</div></section>", "whole text"),
+    ("<main><div class='single-related'><article>whole text<div class=ad>buy</div></article></div></main>", "whole text"),
+    ("<article>story<div class=comments><article>me</article></div></article>", "story"),
+    ("<div class=has-sidebar><aside><article>no</article></aside><dialog><article>no</article></dialog></div>", ""),
+    ("<nav class=nav-fixed><article>no</article></nav><footer><div class=x><main>no</main></div></footer>", ""),
+    ("<div class=has-sidebar hidden><article>no</article></div><div role=dialog><article>no</article></div>", ""),
+    ("<div hidden><div class=has-sidebar><article>no</article></div></div><div class=sidebar>no</div>ok", "ok"),
+])
+def test_an_article_outranks_the_class_of_its_wrapper(page, text):
+    blocks = page_text.Blocks().of(page)
+    assert " ".join(t for t, _ in blocks) == text
+
+
 def test_mixing(odd_documents, no_documents):
     mixed = mixing.mix(odd_documents).collect()
     total, sizes = sum(r.size for r in mixed), {}
