@@ -118,6 +118,26 @@ def test_an_article_outranks_the_class_of_its_wrapper(page, text):
     assert " ".join(t for t, _ in blocks) == text
 
 
+def test_page_text_of_large_hosts(spark):
+    """A host over the size of a group: what two of its pages share goes, whatever groups they are in."""
+    notice, menu, least = mixed_words(1000, 12), mixed_words(1001, 9), 8
+    texts = [f"{mixed_words(i, 30)} {notice if i % 13 == 0 else ''} {mixed_words(100 + i, 5)} {menu if i in (3, 38) else ''}" for i in range(40)]
+    data = [(i, "http://a.b/x", f"<body><p>{t}</p><div>é\u00a0{i}</div>") for i, t in enumerate([*texts, texts[5], "short"])]
+    streams = {i: words(t) + ["é", str(i)] for i, t in enumerate([*texts, texts[5], "short"])}
+    pages_of = {}
+    for i, w in streams.items():
+        for at in range(len(w) - least + 1):
+            pages_of.setdefault(tuple(w[at:at + least]), set()).add(i)
+    expected = {}
+    for i, w in streams.items():
+        gone = {j for at in range(len(w) - least + 1) if len(pages_of[tuple(w[at:at + least])]) > 1 for j in range(at, at + least)}
+        expected[i] = " ".join(x for j, x in enumerate(w) if j not in gone)
+    pages = spark.createDataFrame(data + [(99, "http://c.d/", f"<p>{notice}")], "page_id long, url string, html string")
+    for host_pages in (4, 256):
+        got = {r.page_id: r.text for r in page_text.main_text(pages, host_pages).collect()}
+        assert got == expected | {99: notice}
+
+
 def test_mixing(odd_documents, no_documents):
     mixed = mixing.mix(odd_documents).collect()
     total, sizes = sum(r.size for r in mixed), {}
