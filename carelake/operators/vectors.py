@@ -1,4 +1,4 @@
-"""Exact and approximate nearest-neighbour search over vector collections.
+"""Exact nearest-neighbour search over vector collections.
 
 Vectors are packed into blocks, and blocks of queries meet blocks of chunks of
 the same group in an equality join. Each pair of blocks is one matrix product
@@ -13,8 +13,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 _BLOCK_BYTES = 1 << 20
@@ -150,50 +148,6 @@ def score_summary(queries: DataFrame, chunks: DataFrame, collection: str = "coll
     )
 
 
-def fit_lsh(sample: DataFrame, bucket_length: float = 0.5, tables: int = 8, seed: int = 7) -> BucketedRandomProjectionLSHModel:
-    """Random projections for vectors of the sample's width (only that is learned)."""
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="unit", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    return lsh.fit(_unit_vectors(sample))
-
-
-def _unit_vectors(vectors: DataFrame) -> DataFrame:
-    """Length-one vectors; all-zero ones are left as they are."""
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    scaled = F.transform("vec", lambda x: x.cast("double") / F.when(F.col("__norm") > 0, F.col("__norm")).otherwise(1.0))
-    return vectors.withColumn("__norm", norm).withColumn("unit", array_to_vector(scaled)).drop("__norm")
-
-
-def lsh_buckets(vectors: DataFrame, model: BucketedRandomProjectionLSHModel, collection: str) -> DataFrame:
-    """One row per vector and hash table: (collection, bucket, id, vec)."""
-    hashed = model.transform(_unit_vectors(vectors))
-    return hashed.select(collection, "id", "vec", F.posexplode("hashes").alias("table", "hash")).select(
-        collection,
-        F.concat_ws(":", "table", F.element_at(vector_to_array("hash"), 1).cast("bigint").cast("string")).alias("bucket"),
-        "id",
-        "vec",
-    )
-
-
-def topk_lsh(
-    queries: DataFrame, chunks: DataFrame, model: BucketedRandomProjectionLSHModel, k: int = 3,
-    collection: str = "collection",
-) -> DataFrame:
-    """Approximate k nearest chunks: exact ranking among chunks that share a bucket.
-
-    Buckets are brought together with a rebalance, which splits a hot bucket
-    over several partitions, and are then searched block by block.
-    """
-    keys = [collection, "bucket"]
-    sides = [lsh_buckets(side, model, collection).hint("rebalance", *keys) for side in (queries, chunks)]
-    candidates = block_topk(sides[0], sides[1], keys, k)
-    distinct = candidates.groupBy("query_id", "chunk_id").agg(F.max("cosine").alias("cosine"))
-    return keep_topk(distinct, k).select(
-        "query_id", "chunk_id", F.round("cosine", 2).alias("relevance"), "cosine", "place"
-    )
-
-
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: the share of exact neighbours that the approximate search found."""
     found = approximate.select("query_id", "chunk_id", F.lit(1).alias("hit"))

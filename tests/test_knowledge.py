@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from carelake.operators import chunking, vectors
+from carelake.operators import chunking, signatures, vectors
 from carelake.plans import knowledge
 
 WORDS = st.lists(st.sampled_from(["alpha", "be", "ç", "gamma-delta", "x" * 30, "\n", "\n\n", " "]), max_size=120)
@@ -102,12 +102,45 @@ def test_widths_must_agree(spark):
         vectors.topk_cosine(frame, frame).collect()
 
 
-def test_lsh_recall(spark):
-    frame, _, _ = points(spark)
-    model = vectors.fit_lsh(frame)
+def test_signature_search(spark):
+    """Candidates, their order and what is compared, against plain numpy."""
+    frame, matrix, group = points(spark, n=300, width=24)
+    signed = signatures.signatures(frame, bands=20, bits=4)
+    planes = signatures.hyperplanes(24, 80)
+    sides = np.floor(matrix.astype(float) * 2**20) @ planes > 0
+    bands = sides.reshape(-1, 20, 4)
+    expected = {}
+    for q in range(300):
+        near = [(int((sides[q] != sides[c]).sum()), c) for c in range(300) if group[c] == group[q] and (bands[q] == bands[c]).all(1).any()]
+        expected[q] = sorted(near)[:12]
+    got = {}
+    for r in signatures.candidates(signed, signed.repartition(5), 12).orderBy("query_id", "differing", "chunk_id").collect():
+        got.setdefault(r.query_id, []).append((r.differing, r.chunk_id))
+    assert got == expected
     exact = vectors.topk_cosine(frame, frame, 3)
-    result = vectors.recall(vectors.topk_lsh(frame, frame, model, 3), exact).first()
-    assert result.expected == 1200 and result.recall > 0.8
+    result = vectors.recall(signatures.topk_signatures(frame, frame, 3, bands=20, bits=4, reranked=12), exact).first()
+    assert result.expected == 900 and result.recall > 0.6
+
+
+def test_signatures_find_near_vectors_among_many(spark):
+    """Vectors near one another are found although few buckets are searched."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(1500, 200))
+    near = base + rng.normal(size=base.shape) * 0.1
+    side = lambda m, first: spark.createDataFrame([(first + i, "a", row.tolist()) for i, row in enumerate(m)], "id long, collection string, vec array<double>")
+    chunks, queries = side(base, 0), side(near, 10_000)
+    got = signatures.topk_signatures(queries, chunks, 1, bands=16, bits=10, reranked=4).collect()
+    assert sum(r.query_id - 10_000 == r.chunk_id for r in got) > 1490
+    sides = [signatures.signatures(x, bands=16, bits=10) for x in (queries, chunks)]
+    assert signatures.candidates(*sides, 1500).count() < 0.05 * 1500**2
+
+
+def test_odd_vectors(spark):
+    schema = "id long, collection string, vec array<float>"
+    frame = spark.createDataFrame([(1, "a", [0.0, 0.0]), (2, "a", [1.0, 2.0]), (3, None, [1.0, 2.0]), (4, "a", None), (5, "a", []), (6, "a", [1.0, None])], schema)
+    got = {(r.query_id, r.chunk_id): r.relevance for r in signatures.topk_signatures(frame, frame).collect()}
+    assert got[1, 1] == 0.0 and got[2, 2] == 1.0 and {a for a, _ in got} == {1, 2}
+    assert signatures.topk_signatures(frame.limit(0), frame).count() == 0
 
 
 def test_single_hit_relevance(spark):

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from carelake import schemas
-from carelake.operators import chunking, contacts as crm, vectors
+from carelake.operators import chunking, contacts as crm, signatures, vectors
 from carelake.plans import knowledge, marts
 from carelake.session import scratch_path, stored
 from carelake.sources import collections, documents, jdbc, snapshots, tables
@@ -230,11 +230,45 @@ def cross_join_queries_chunks(spark, d):
     return scores.select("query_id", "n_chunks", *[F.round(c, 6).alias(c) for c in ("best", "worst", "mean")])
 
 
-@query("topk_ann_lsh")
+_SIGNED_SQL = f"""
+with planes as (select p, list_transform(range(64), lambda i: case when (cast('0x' || substr(md5('{signatures.SEED}|' || p || '|0'), 1 + i // 4, 1) as int)
+    >> (3 - i % 4)) & 1 = 1 then 1.0::double else -1.0::double end) as plane from range({signatures.BANDS * signatures.BAND_BITS}) t(p)),
+v as (select vec_id, label, embedding::double[] as vec, list_transform(embedding, lambda x: floor(x::double * {signatures.UNIT})) as whole from embeddings),
+sides as (select vec_id, label, p, case when list_dot_product(whole, plane) > 0 then 1 else 0 end as bit from v, planes),
+words as (select vec_id, list(word order by w) as words from (
+    select vec_id, p // 32 as w, sum(bit << (p % 32)) as word from sides group by all) group by vec_id),
+bands as (select vec_id, label, p // {signatures.BAND_BITS} as band, sum(bit << (p % {signatures.BAND_BITS})) as code from sides group by all),
+shared as (select distinct q.vec_id as query_id, c.vec_id as chunk_id from bands q join bands c on q.label = c.label and q.band = c.band and q.code = c.code),
+counted as (select query_id, chunk_id, list_sum(list_transform(range(1, len(a.words) + 1),
+    lambda i: bit_count(xor(a.words[i]::bigint, b.words[i]::bigint)))) as differing
+    from shared join words a on a.vec_id = query_id join words b on b.vec_id = chunk_id),
+sieved as (select * from (select *, row_number() over (partition by query_id order by differing, chunk_id) as n from counted) where n <= {signatures.RERANKED}),
+compared as (select query_id, chunk_id, list_cosine_similarity(q.vec, c.vec) as cosine
+    from sieved join v q on q.vec_id = query_id join v c on c.vec_id = chunk_id),
+near as (select * from (select *, row_number() over (partition by query_id order by round(cosine, 9) desc, chunk_id) as place from compared) where place <= 3)
+"""
+
+
+@query("topk_ann_lsh", _SIGNED_SQL + "select query_id, chunk_id, round(cosine, 2) as relevance, place from near")
 def topk_ann_lsh(spark, d):
     points = _vectors(spark, d)
-    model = vectors.fit_lsh(points)
-    return vectors.topk_lsh(points, points, model, 3).drop("cosine")
+    return signatures.topk_signatures(points, points, 3).drop("cosine")
+
+
+@query("topk_ann_recall", _SIGNED_SQL + """, s as (
+    select q.vec_id as query_id, c.vec_id as chunk_id, list_cosine_similarity(q.vec, c.vec) as cosine from v q join v c on q.label = c.label),
+exact as (select * from (select *, row_number() over (partition by query_id order by round(cosine, 9) desc, chunk_id) as place from s) where place <= 3)
+select (select count(*) from compared) as compared_pairs, (select count(*) from s) as all_pairs,
+    (select count(*) from exact join near using (query_id, chunk_id)) as found, (select count(*) from exact) as expected""")
+def topk_ann_recall(spark, d):
+    """How many pairs of vectors the approximate search compares, and how many of the exact neighbours it finds."""
+    points = _vectors(spark, d)
+    signed = signatures.signatures(points)
+    pairs = stored(signatures.candidates(signed, signed), "candidates")
+    near = vectors.keep_topk(signatures.cosines(pairs, points, points), 3)
+    found = vectors.recall(near, vectors.topk_cosine(points, points, 3)).select("found", "expected")
+    sizes = points.groupBy("collection").count().agg(F.expr("sum(count * count)").alias("all_pairs"))
+    return pairs.agg(F.count("*").alias("compared_pairs")).join(sizes).join(found)
 
 
 _LINES_SQL = _SCORES_SQL + """, hits as (
