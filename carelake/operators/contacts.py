@@ -64,10 +64,12 @@ def match_phones(messages: DataFrame, contacts: DataFrame) -> DataFrame:
 def _match_pieces(messages: DataFrame, contacts: DataFrame, phone: Column, choice: Column) -> DataFrame:
     """A substring search as an equality join.
 
-    Stored numbers are short, so each yields its substrings, but only of
-    lengths that are looked for; every substring keeps the chosen id, combined
-    before the shuffle. No pair of message and contact is ever built, even if
-    all contacts hold the number. An empty number matches nothing.
+    Stored numbers are short, so each yields its substrings, but only of lengths
+    that are looked for. Substrings meet the wanted numbers before anything is
+    grouped: where Spark's size check lets those be broadcast, only hits are
+    shuffled, and else the join and the grouping share one shuffle. No pair of
+    message and contact is built, even if all contacts hold the number. An empty
+    number matches nothing.
     """
     wanted = _wanted(messages)
     lengths = wanted.agg(F.collect_set(F.length("clean"))).scalar()
@@ -78,10 +80,9 @@ def _match_pieces(messages: DataFrame, contacts: DataFrame, phone: Column, choic
         .where(F.length("stored") >= width)
         .select("id", "stored", "width", F.explode(F.sequence(F.lit(1), F.length("stored") - width + 1)).alias("start"))
         .select("id", "stored", F.substring("stored", start, width).alias("clean"))
-        .groupBy("clean")
-        .agg(choice.alias("contact_id"))
     )
-    return wanted.join(pieces, "clean", "left")
+    hits = pieces.join(wanted, "clean").groupBy("clean").agg(choice.alias("contact_id"))
+    return wanted.join(hits, "clean", "left")
 
 
 def _wanted(messages: DataFrame) -> DataFrame:
@@ -92,12 +93,19 @@ def _wanted(messages: DataFrame) -> DataFrame:
     )
 
 
+def without_number(updates: DataFrame) -> DataFrame:
+    """Updates that belong to no contact, as their cleaned phone is empty or null, with the ``reason`` phone."""
+    clean = clean_phone(F.col("phone"))
+    return updates.where(clean.isNull() | (F.length(clean) == 0)).withColumn("reason", F.lit("phone"))
+
+
 def fold_updates(updates: DataFrame) -> DataFrame:
     """The net effect of many summaries per number: one row per cleaned phone.
 
     ``updates`` has phone, ts, event_id and a validated ``summary`` struct.
     Every output piece is a maximum or minimum of (position, value), so a busy
-    number is combined before the shuffle and folds can be folded again.
+    number is combined before the shuffle and folds can be folded again. Updates
+    without a number are in ``without_number``.
     """
     position = F.struct("ts", "event_id")
     summary = F.col("summary")
@@ -124,7 +132,7 @@ def refold(pieces: DataFrame, key: str) -> DataFrame:
 
 def ai_columns(summary: Column) -> dict[str, Column]:
     """The AI-owned contact columns for a summary."""
-    return {
+    columns = {
         "c_aisummary": crm_summary(summary),
         "c_potencial_venda": summary["potencial"].cast("decimal(13,4)"),
         "c_potencial_venda_currency": F.lit("BRL"),
@@ -132,6 +140,9 @@ def ai_columns(summary: Column) -> dict[str, Column]:
         "c_display_potencial": money_display(summary["potencial"]),
         "c_display_visitas": visits_display(summary["qtd_consultas"]),
     }
+    if not set(columns).isdisjoint(BILLING_OWNED):
+        raise ValueError("a summary may not write a column that billing owns")
+    return columns
 
 
 def merge_contacts(contacts: DataFrame, folded: DataFrame) -> DataFrame:

@@ -184,26 +184,105 @@ def test_streamed_updates_equal_the_batch(spark, tmp_path):
     for part in range(3):
         spark.createDataFrame(rows[part::3], schema).coalesce(1).write.mode("append").parquet(str(source))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(source))
-    log, bad = str(tmp_path / "log"), str(tmp_path / "bad")
-    upsert.stream_upsert(stream, log, bad, str(tmp_path / "cp")).awaitTermination()
-    base = contact_frame(spark, contacts)
+    root = str(tmp_path / "contacts")
+    upsert.create(contact_frame(spark, contacts), root)
+    upsert.stream_upsert(stream, root).awaitTermination()
     expected = apply_in_order(contacts, updates)
-    assert merged_rows(upsert.current_contacts(spark, base, log)) == expected
-    assert len([p for p in (tmp_path / "log").iterdir() if p.name.startswith("batch_id")]) == 3
-    assert spark.read.parquet(bad).where("reason = 'json'").count() == 1
-    upsert.compact(spark, base, log, str(tmp_path / "base2"))
-    assert merged_rows(spark.read.parquet(str(tmp_path / "base2"))) == expected
-
-
-def test_repeated_batch_leaves_the_same_log(spark, tmp_path):
-    _, updates = merge_case(4)
-    schema = "phone string, ts timestamp_ntz, event_id long, summary_json string"
-    batch = spark.createDataFrame([(p, t, e, json.dumps(r)) for p, t, e, r in updates], schema)
-    log, bad = str(tmp_path / "log"), str(tmp_path / "bad")
-    upsert.write_batch(batch, 0, log, bad)
-    once = sorted(map(str, spark.read.parquet(log).collect()))
-    upsert.write_batch(batch, 0, log, bad)
-    assert sorted(map(str, spark.read.parquet(log).collect())) == once
+    assert merged_rows(upsert.current_contacts(spark, root)) == expected
+    assert upsert.last_batch(spark, root) == 2
+    assert spark.read.parquet(f"{root}/quarantine").where("reason = 'json'").count() == 1
+    assert upsert.compact(spark, root) == 1
+    assert merged_rows(upsert.current_contacts(spark, root)) == expected
+    assert {r.merge_action for r in upsert.current_contacts(spark, root).collect()} == {"unchanged"}
+
+
+UPDATE = "phone string, ts timestamp_ntz, event_id long, summary_json string"
+
+
+def update_batch(spark, updates):
+    return spark.createDataFrame([(p, t, e, json.dumps(r)) for p, t, e, r in updates], UPDATE)
+
+
+def logged(spark, root):
+    return sorted(map(str, spark.read.parquet(f"{root}/log").where("clean is not null").collect()))
+
+
+def test_contacts_before_any_batch(spark, tmp_path):
+    contacts, _ = merge_case(1)
+    root = str(tmp_path)
+    upsert.create(contact_frame(spark, contacts), root)
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, [])
+    assert upsert.compact(spark, root) == 0
+    upsert.prune(spark, root)
+    with pytest.raises(Exception, match="EXISTS"):
+        upsert.create(contact_frame(spark, contacts), root)
+
+
+def test_repeated_batch_leaves_the_same_log(spark, tmp_path, monkeypatch):
+    """A batch that failed before its end is done again; one that was finished is left alone."""
+    contacts, updates = merge_case(4)
+    root = str(tmp_path)
+    upsert.create(contact_frame(spark, contacts), root)
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "_finish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            upsert.write_batch(update_batch(spark, updates[:30]), 0, root)
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, [])
+    upsert.write_batch(update_batch(spark, updates), 0, root)
+    once = logged(spark, root)
+    upsert.write_batch(update_batch(spark, updates[:5]), 0, root)
+    assert logged(spark, root) == once
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, updates)
+
+
+def test_a_batch_during_compaction_is_kept(spark, tmp_path, monkeypatch):
+    contacts, updates = merge_case(6)
+    updates.sort(key=lambda u: (u[1], u[2]))
+    root = str(tmp_path)
+    upsert.create(contact_frame(spark, contacts), root)
+    upsert.write_batch(update_batch(spark, updates[:20]), 0, root)
+    merge = upsert.merge_contacts
+
+    def merge_slowly(*parts):
+        upsert.write_batch(update_batch(spark, updates[20:40]), 1, root)
+        return merge(*parts)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "merge_contacts", merge_slowly)
+        assert upsert.compact(spark, root) == 1
+    assert tuple(upsert.newest(spark, root)) == (1, 0) and upsert.last_batch(spark, root) == 1
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, updates[:40])
+    upsert.prune(spark, root, versions=1)
+    upsert.write_batch(update_batch(spark, updates[40:]), 2, root)
+    assert upsert.compact(spark, root) == 2
+    upsert.prune(spark, root, versions=1)
+    assert logged(spark, root) == [] and spark.read.parquet(f"{root}/base").where("version < 2 and id is not null").count() == 0
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, updates)
+
+
+def test_a_failed_compaction_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    contacts, updates = merge_case(7)
+    root = str(tmp_path)
+    upsert.create(contact_frame(spark, contacts), root)
+    upsert.write_batch(update_batch(spark, updates), 0, root)
+    with monkeypatch.context() as patch:
+        patch.setattr(upsert, "_commit", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            upsert.compact(spark, root)
+    assert upsert.newest(spark, root).version == 0
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, updates)
+    assert upsert.compact(spark, root) == 1
+
+
+def test_updates_without_a_number_are_set_aside(spark, tmp_path):
+    contacts, updates = merge_case(8)
+    root = str(tmp_path)
+    upsert.create(contact_frame(spark, contacts), root)
+    odd = [(phone, START, 1000 + i, updates[0][3]) for i, phone in enumerate([None, "", " + "])]
+    upsert.write_batch(update_batch(spark, updates + odd), 0, root)
+    rejected = spark.read.parquet(f"{root}/quarantine").collect()
+    assert sorted((r.event_id, r.reason) for r in rejected) == [(1000, "phone"), (1001, "phone"), (1002, "phone")]
+    assert merged_rows(upsert.current_contacts(spark, root)) == apply_in_order(contacts, updates)
 
 
 # -- conversations --------------------------------------------------------------------

@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from carelake import schemas
-from carelake.operators import chunking, contacts as crm, signatures, vectors
+from carelake.operators import chunking, signatures, vectors
 from carelake.plans import knowledge, marts
 from carelake.session import scratch_path, stored
 from carelake.sources import collections, documents, jdbc, snapshots, tables
@@ -114,15 +114,15 @@ def src_jdbc_rag_audit(spark, d):
     return jdbc.export_rag_audit(source)
 
 
-@query("sink_contact_upsert", MERGED_SQL)
+@query("sink_contact_upsert", f"select * exclude (merge_action) from ({MERGED_SQL})")
 def sink_contact_upsert(spark, d):
-    """The merged contacts written as a new base version and read back."""
-    from verification.queries_records import valid_summaries
-
-    path = scratch_path(spark, "contacts/version=1")
-    merged = crm.upsert_contacts(live_contacts(spark, d), valid_summaries(spark, d))
-    merged.write.mode("overwrite").parquet(path)
-    return spark.read.option("basePath", path).parquet(path).select(*MERGED_COLUMNS)
+    """The summaries logged as one batch, merged into a new version, and that version read back."""
+    root = scratch_path(spark, "contacts")
+    upsert.create(live_contacts(spark, d), root)
+    upsert.write_batch(tables.summary_json(spark, d), 0, root)
+    upsert.compact(spark, root)
+    upsert.prune(spark, root, versions=1)
+    return upsert.current_contacts(spark, root).select(*[c for c in MERGED_COLUMNS if c != "merge_action"])
 
 
 # -- knowledge -----------------------------------------------------------------
@@ -337,8 +337,8 @@ def conversation_sessions_stream(spark, d):
 
 @query("stream_upsert", MERGED_SQL)
 def stream_upsert(spark, d):
-    """Updates streamed into the log, then merged with the base contacts."""
-    path = scratch_path(spark, "contact_log")
-    summaries = tables.summary_columns(_event_stream(spark, d))
-    upsert.stream_upsert(summaries, path, f"{path}-quarantine", f"{path}-checkpoint").awaitTermination()
-    return upsert.current_contacts(spark, live_contacts(spark, d), path).select(*MERGED_COLUMNS)
+    """Updates streamed into the log, then merged with the contacts' version."""
+    root = scratch_path(spark, "streamed-contacts")
+    upsert.create(live_contacts(spark, d), root)
+    upsert.stream_upsert(tables.summary_columns(_event_stream(spark, d)), root).awaitTermination()
+    return upsert.current_contacts(spark, root).select(*MERGED_COLUMNS)
