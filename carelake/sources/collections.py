@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def replace_collections(vectors: DataFrame, path: str) -> None:
+# The characters that a partition folder's name holds as %XX.
+_ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^" + "".join(map(chr, range(32))))
+
+
+def replace_collections(vectors: DataFrame, path: str, names: Iterable[str] | None = None) -> None:
     """Write collections, each replacing its stored version; others stay.
 
-    The rebalance gives each collection few files, and a large one several tasks.
+    ``names`` lists the collections to replace; one that has no vectors is then
+    emptied, and vectors of others are not written. Without it those that have
+    vectors are replaced. The rebalance gives each collection few files, and a
+    large one several tasks.
     """
+    wanted = None if names is None else sorted(set(names))
+    rows = vectors if wanted is None else vectors.where(F.col("collection").isin(wanted))
     (
-        vectors.hint("rebalance", "collection")
+        rows.hint("rebalance", "collection")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("collection")
         .parquet(path)
     )
+    if wanted is not None:
+        # At most one name for each of the given ones.
+        filled = {row[0] for row in rows.select("collection").distinct().toLocalIterator()}
+        for name in wanted:
+            if name not in filled:
+                folder = "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in name)
+                vectors.drop("collection").limit(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/collection={folder}")
 
 
 def read_collection(spark: SparkSession, path: str, collection: str) -> DataFrame:

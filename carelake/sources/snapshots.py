@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
+import hashlib
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-_DAY_DIR = re.compile(r"dt=(\d{4}-\d{2}-\d{2})$")
-_FOOTER_THREADS = 16
+_DAY = r"/dt=(\d{4}-\d{2}-\d{2})/[^/]*$"
+# Stores that tasks open themselves to read a file's last bytes; of files elsewhere Spark hands over the whole content.
+_OPENED = ("file", "hdfs", "s3", "s3a", "gs", "gcs", "abfs", "abfss")
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -22,13 +26,10 @@ def write_snapshot(df: DataFrame, table_dir: str, run_date: dt.date) -> None:
     df.drop("dt").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(day)
 
 
-def snapshot_days(spark: SparkSession, table_dir: str) -> dict[str, str]:
-    """Day -> folder, from a directory listing; no data file is opened."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    folders = [str(status.getPath()) for status in fs.listStatus(root)]
-    return {match.group(1): f for f in folders if (match := _DAY_DIR.search(f))}
+def listed_files(spark: SparkSession, table_dir: str, *more: str) -> DataFrame:
+    """(path, day) of every file of a table, from listings only: ``more`` may name the content, which opens the files."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table_dir)
+    return files.select("path", F.regexp_extract("path", _DAY, 1).alias("day"), *more).where("day <> ''")
 
 
 def scan_all(spark: SparkSession, table_dir: str) -> DataFrame:
@@ -37,9 +38,12 @@ def scan_all(spark: SparkSession, table_dir: str) -> DataFrame:
 
 
 def scan_latest(spark: SparkSession, table_dir: str) -> DataFrame:
-    """The newest snapshot; older folders are pruned before planning."""
-    newest = max(snapshot_days(spark, table_dir))
-    return scan_all(spark, table_dir).where(F.col("dt") == F.lit(dt.date.fromisoformat(newest)))
+    """The newest snapshot. Its day comes from a listing, and only its folder is opened."""
+    newest = listed_files(spark, table_dir).agg(F.max("day")).first()[0]
+    if newest is None:
+        raise ValueError(f"{table_dir} has no day folder")
+    rows = spark.read.option("basePath", table_dir).parquet(f"{table_dir.rstrip('/')}/dt={newest}")
+    return rows.where(F.col("dt") == F.lit(dt.date.fromisoformat(newest)))
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
@@ -58,25 +62,59 @@ def scan_union_by_name(
 
     Daily files may disagree: other decimal widths, integers that became
     doubles because of a NULL, all-NULL columns stored as INT32, columns that
-    come and go; so may the files of one day. Files with equal schemas are read
-    together, so the plan has one branch per distinct schema and not one per file.
+    come and go; so may the files of one day. Tasks read the footers, all in one
+    job whatever the number of files. Files with equal schemas are read together,
+    so the plan has one branch per distinct schema; a day whose files agree is
+    named by its folder, and only files of other days one by one. A table
+    without a day gives an empty frame.
     """
-    folders = list(snapshot_days(spark, table_dir).values())
-    if not folders:
-        raise ValueError(f"{table_dir} has no day folder")
-    files = spark.read.option("basePath", table_dir).parquet(*folders).inputFiles()
-    with ThreadPoolExecutor(_FOOTER_THREADS) as pool:
-        file_schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
-    groups: dict[str, list[str]] = defaultdict(list)
-    for file, schema in zip(files, file_schemas):
-        groups[schema.json()].append(file)
     if keep_dt:
         target = T.StructType([*target.fields, T.StructField("dt", T.DateType(), True)])
+    groups: dict[str, list[str]] = defaultdict(list)
+    for row in _schema_groups(spark, table_dir).toLocalIterator():
+        groups[row.footer] += row.paths
     branches = [
         _conform(spark.read.option("basePath", table_dir).parquet(*sorted(members)), target)
         for members in groups.values()
     ]
-    return reduce(DataFrame.unionByName, branches)
+    return reduce(DataFrame.unionByName, branches) if branches else spark.createDataFrame([], target)
+
+
+def _schema_groups(spark: SparkSession, table_dir: str) -> DataFrame:
+    """(day, footer, paths): the folder of a day with one schema, else the files of each schema."""
+    scheme = listed_files(spark, table_dir).select(F.regexp_extract("path", "^([^:]+):", 1)).first()
+    opened = scheme is None or scheme[0] in _OPENED
+    files = listed_files(spark, table_dir, *([] if opened else ["content"]))
+    footers = files.mapInArrow(_footers, "path string, day string, footer string")
+    same = footers.groupBy("day", "footer").agg(F.count("*").alias("n"), F.collect_list("path").alias("files"))
+    # All of a day's schemas meet, a row for each; the paths of a day with one schema go again at once.
+    days = same.groupBy("day").agg(F.collect_list(F.struct("footer", "files")).alias("kinds"))
+    folder = F.array(F.regexp_replace(F.col("kinds")[0]["files"][0], "/[^/]*$", ""))
+    kinds = F.when(F.size("kinds") == 1, F.array(F.struct(F.col("kinds")[0]["footer"].alias("footer"), folder.alias("files")))).otherwise(F.col("kinds"))
+    return days.select("day", F.explode(kinds).alias("kind")).select("day", "kind.footer", F.col("kind.files").alias("paths"))
+
+
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths, or paths with contents, to a digest of the names and types that each file's footer declares."""
+    for batch in batches:
+        footers = []
+        for i, path in enumerate(batch.column(0).to_pylist()):
+            if batch.num_columns > 2:
+                schema = pq.read_schema(pa.BufferReader(batch.column(2)[i].as_buffer()))
+            else:
+                store, name = _store(path)
+                with store.open_input_file(name) as file:
+                    schema = pq.read_schema(file)
+            fields = str([(f.name, str(f.type)) for f in schema])
+            footers.append(hashlib.md5(fields.encode()).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(footers, pa.string())], names=["path", "day", "footer"])
+
+
+def _store(path: str) -> tuple[pafs.FileSystem, str]:
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
 
 
 def _conform(source: DataFrame, target: T.StructType) -> DataFrame:

@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -69,3 +71,53 @@ def test_windows_with_any_overlap(spark, size, overlap):
 def test_an_overlap_as_long_as_the_window_is_refused(spark):
     with pytest.raises(ValueError):
         chunk_fixed_window(spark.createDataFrame([(1, "x")], "doc_id long, text string"), 5, 5)
+
+
+@pytest.mark.parametrize("files", [40, 1500])
+def test_footers_take_one_job(spark, tmp_path, files):
+    """The number of jobs doesn't grow with the number of files."""
+    kinds = [{"id": pa.array([1], pa.int64())}, {"id": pa.array([2], pa.int64()), "status": pa.array(["x"])}, {"id": pa.array([3.0])}]
+    for i in range(files):
+        folder = tmp_path / f"dt=2024-01-0{1 + i % 3}"
+        folder.mkdir(exist_ok=True)
+        # The first two days have one schema each, the third has two.
+        pq.write_table(pa.table(kinds[i % 3] if i % 3 < 2 else kinds[2 - i % 2]), folder / f"part-{i}.parquet")
+    target = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType())])
+    spark.sparkContext.setJobGroup(f"footers-{files}", "")
+    frame = snapshots.scan_union_by_name(spark, f"file://{tmp_path}", target, keep_dt=True)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"footers-{files}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Adaptive execution counts each shuffle as a job; reading a group of files asks for its schema, and long lists are listed by a job.
+    assert jobs <= 14
+    assert frame.count() == files
+    assert frame.where("id in (1, 3) and status is not null or id = 2 and status is null").count() == 0
+    assert {r.dt.day for r in frame.select("dt").distinct().collect()} == {1, 2, 3}
+
+
+def test_footers_of_stores_that_only_spark_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "_OPENED", ())
+    test_files_of_one_day_may_differ(spark, tmp_path)
+
+
+def test_a_table_without_days(spark, tmp_path):
+    target = T.StructType([T.StructField("id", T.LongType())])
+    frame = snapshots.scan_union_by_name(spark, f"file://{tmp_path}", target, keep_dt=True)
+    assert frame.columns == ["id", "dt"] and frame.count() == 0
+    with pytest.raises(ValueError):
+        snapshots.scan_latest(spark, f"file://{tmp_path}")
+
+
+def test_the_latest_snapshot_opens_one_folder(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    for day in (1, 2, 3):
+        snapshots.write_snapshot(spark.range(day), path, dt.date(2024, 1, day))
+    frame = snapshots.scan_latest(spark, path)
+    assert frame.count() == 3 and {f.rsplit("/", 2)[1] for f in frame.inputFiles()} == {"dt=2024-01-03"}
+
+
+def test_emptied_collections(spark, tmp_path):
+    path = f"file://{tmp_path}"
+    rows = spark.createDataFrame([(1, "a"), (2, "x/y"), (3, "c")], "id int, collection string")
+    collections.replace_collections(rows, path)
+    collections.replace_collections(rows.where("id = 1").withColumn("id", F.lit(9)), path, ["a", "x/y"])
+    assert {(r.id, r.collection) for r in spark.read.parquet(path).collect()} == {(9, "a"), (3, "c")}

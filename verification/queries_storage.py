@@ -59,7 +59,7 @@ def scan_bronze_all(spark, d):
 @query("latest_snapshot", _TWO_DAYS_SQL + shown("snaps", {**BILLING_COLUMNS, "dt": "t"})
        + " where dt = (select max(dt) from snaps)")
 def latest_snapshot(spark, d):
-    return snapshots.latest_snapshot(snapshots.scan_all(spark, _write_two_days(spark, d)))
+    return snapshots.scan_latest(spark, _write_two_days(spark, d))
 
 
 def _write_drifted(spark, d) -> str:
