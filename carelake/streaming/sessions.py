@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from carelake.operators.sessions import ordered_text
 
@@ -43,3 +47,116 @@ def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
         .trigger(availableNow=True)
         .start()
     )
+
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocks_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, as message streams must."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE) if before is None else spark.conf.set(STATE_STORE, before)
+
+
+class _Placing(StatefulProcessor):
+    """Messages of one key in time order, each with its session, as the watermark passes them.
+
+    State is what the watermark has not passed yet, at most the messages of the
+    lateness, and three numbers of the open session, however long it gets; both
+    go when the session is over.
+    """
+
+    def __init__(self, key: str, gap_us: int):
+        self.key, self.gap_us = key, gap_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "us bigint, ord string, text string")
+        self.open = handle.getValueState("open", "start bigint, last bigint, position bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        for frame in rows:
+            late = frame["us"] <= passed
+            if late.any():
+                yield self._rows(key, frame[late].assign(session=None, position=None, reason="late"))
+            if not late.all():
+                self.waiting.appendList([tuple(r) for r in frame.loc[~late, ["us", "ord", "text"]].astype(object).itertuples(index=False)])
+        yield from self._place(key, passed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._place(key, timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def _place(self, key, passed: int) -> Iterator[pd.DataFrame]:
+        messages = sorted(tuple(m) for m in self.waiting.get()) if self.waiting.exists() else []
+        start, last, position = self.open.get() if self.open.exists() else (None, None, 0)
+        done, later = [], []
+        for message in messages:
+            us, order, text = message
+            if us > passed:
+                later.append(message)
+                continue
+            if last is None or us - last > self.gap_us:
+                start, position = us, 0
+            last, position = us, position + 1
+            done.append((us, order, text, start, position, None))
+        if done:
+            yield self._rows(key, pd.DataFrame(done, columns=["us", "ord", "text", "session", "position", "reason"]))
+            if later:
+                self.waiting.put(later)
+            else:
+                self.waiting.clear()
+        if last is not None and last + self.gap_us < passed:
+            self.open.clear()
+            last = None
+        elif done:
+            self.open.update((start, last, position))
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        # The next message to pass, or else the end of the open session.
+        wake = later[0][0] if later else last + self.gap_us + 1 if last is not None else None
+        if wake is not None:
+            self.handle.registerTimer(wake // 1000 + 1)
+
+    def _rows(self, key, frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.assign(**{self.key: key[0]})[[self.key, "us", "ord", "text", "session", "position", "reason"]].astype(
+            {"us": "Int64", "session": "Int64", "position": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+def session_messages_stream(
+    messages: DataFrame, key: str, ts: str, order: str, text: str, gap_seconds: float = 15, lateness: str = "1 minute",
+) -> DataFrame:
+    """One row per message with its session and its position there, or with the reason why it has none.
+
+    The streaming form of ``session_messages`` for sessions of any length: rows
+    go out when the watermark has passed them, one by one and in order, and
+    nothing grows with a session. A message that comes after the watermark has
+    the reason ``late``, one without key or time that column's name; their
+    session_start and position are null. What the watermark has not passed when
+    the stream stops waits in the state for the next run. ``key`` and ``order``
+    come out as text. Start it inside ``rocks_state``.
+    """
+    named = messages.select(F.col(key).cast("string").alias(key), F.col(ts).cast("timestamp").alias(ts), F.col(order).cast("string").alias("ord"), text)
+    known = named.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).withWatermark(ts, lateness)
+    # The engine drops late rows where it sees the time column; here they come out with a reason.
+    timed = known.select(key, F.unix_micros(ts).alias("us"), "ord", F.col(text).alias("text"))
+    placed = timed.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=_Placing(key, int(gap_seconds * 1_000_000)),
+        outputStructType=f"`{key}` string, us bigint, ord string, text string, session bigint, position bigint, reason string",
+        outputMode="Append", timeMode="EventTime")
+    reason = F.when(F.col(key).isNull(), F.lit(key)).when(F.col(ts).isNull(), F.lit(ts))
+    unplaced = named.withColumn("reason", reason).where(F.col("reason").isNotNull()).select(
+        key, F.unix_micros(ts).alias("us"), "ord", F.col(text).alias("text"), F.lit(None).cast("long").alias("session"),
+        F.lit(None).cast("long").alias("position"), "reason")
+    return placed.unionByName(unplaced).select(
+        key, F.timestamp_micros("us").alias(ts), F.col("ord").alias(order), F.col("text").alias(text),
+        F.timestamp_micros("session").alias("session_start"), "position", "reason")

@@ -366,3 +366,52 @@ def test_long_conversation_keeps_all_turns(spark):
     row = sessions.conversation_concat(turns).first()
     assert row.n_turns == 25
     assert row.text == "\n".join(f"t{i}" for i in range(25))
+
+
+@pytest.fixture
+def rocks(spark):
+    with session_stream.rocks_state(spark):
+        yield
+
+
+def run_messages(spark, tmp_path, batches, gap, lateness):
+    """The rows of a message stream that gets the given batches one after the other, and its state rows after each."""
+    schema = "user string, ts timestamp, event long, text string"
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    states = []
+    for number, batch in enumerate(batches):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        placed = session_stream.session_messages_stream(stream, "user", "ts", "event", "text", gap, lateness)
+        query = session_stream.run_to_parquet(placed, out, str(tmp_path / "cp"))
+        query.awaitTermination()
+        states.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:]))
+    return spark.read.parquet(out).collect(), states
+
+
+def test_message_stream_equals_the_batch(spark, tmp_path, rocks):
+    rng = random.Random(12)
+    at = lambda s: START + dt.timedelta(seconds=s)
+    events = [(rng.choice("abc"), at(rng.randrange(0, 4000) + i * 600 // 200 * 20), i, f"t{i}") for i in range(150)]
+    events.sort(key=lambda e: e[1])
+    # Each batch is shuffled inside; nothing comes later than the lateness.
+    batches = [rng.sample(events[i:i + 50], 50) for i in (0, 50, 100)]
+    batches[1] += [(None, at(1), 500, "nobody"), ("a", None, 501, "never")]
+    batches.append([("z", at(10**6), 502, "last")])
+    rows, _ = run_messages(spark, tmp_path, batches, 60, "2 hours")
+    frame = spark.createDataFrame(events, "user string, ts timestamp, event long, text string")
+    expected = {(r.user, r.text, r.session_start, r.position)
+                for r in sessions.session_messages(frame, "user", "ts", "event", "text", 60).collect()}
+    assert {(r.user, r.text, r.session_start, r.position) for r in rows if r.reason is None} == expected
+    assert {(r.text, r.reason) for r in rows if r.reason} == {("nobody", "user"), ("never", "ts")}
+
+
+def test_endless_session_keeps_constant_state(spark, tmp_path, rocks):
+    at = lambda s: START + dt.timedelta(seconds=s)
+    batches = [[("a", at(100 * b + i), 100 * b + i, "m") for i in range(100)] for b in range(4)] + [[("a", at(5), 1000, "late"), ("a", at(400), 400, "m")]]
+    rows, states = run_messages(spark, tmp_path, batches, 15, "10 seconds")
+    placed = [r for r in rows if r.reason is None]
+    assert sorted(r.position for r in placed) == list(range(1, len(placed) + 1)) and len(placed) > 380
+    assert len({r.session_start for r in placed}) == 1
+    assert [(r.text, r.reason) for r in rows if r.reason] == [("late", "late")]
+    assert max(states) == min(states[:-1]) and max(states) < 20

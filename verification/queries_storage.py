@@ -335,6 +335,24 @@ def conversation_sessions_stream(spark, d):
     return spark.read.parquet(path)
 
 
+@query("conversation_messages_stream", with_tables("messages") + """, flagged as (
+    select *, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 1 hour then 0 else 1 end as opens
+    from messages),
+numbered as (select *, sum(opens) over (partition by user_id order by ts range unbounded preceding) as session from flagged)
+select cast(user_id as varchar) as user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, cast(event_id as varchar) as event_id, text,
+       strftime(min(ts) over (partition by user_id, session), '%Y-%m-%d %H:%M:%S.%f') as session_start,
+       row_number() over (partition by user_id, session order by ts, cast(event_id as varchar)) as position, cast(null as varchar) as reason
+from numbered where epoch_us(ts) <= (select epoch_ms(max(ts)) - 60000 from messages) * 1000""")
+def conversation_messages_stream(spark, d):
+    """Every message with its session, as the watermark passes it; nothing is gathered by session."""
+    path = scratch_path(spark, "session-messages")
+    stream = session_stream.session_messages_stream(
+        tables.chat_columns(_event_stream(spark, d)), "user_id", "ts", "event_id", "text", 3600)
+    with session_stream.rocks_state(spark):
+        session_stream.run_to_parquet(stream, path, f"{path}-checkpoint").awaitTermination()
+    return spark.read.parquet(path)
+
+
 @query("stream_upsert", MERGED_SQL)
 def stream_upsert(spark, d):
     """Updates streamed into the log, then merged with the contacts' version."""
