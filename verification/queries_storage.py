@@ -22,6 +22,7 @@ from verification.queries_models import (
 )
 from verification.queries_records import MERGED_COLUMNS, MERGED_SQL, live_contacts
 from verification.registry import query, shown
+from verification.sql_knowledge import CHUNKS
 
 DAYS = [dt.date(2024, 12, 30), dt.date(2024, 12, 31), dt.date(2025, 1, 1)]
 
@@ -145,7 +146,7 @@ def _chunks(spark, d):
     return chunking.chunk_documents(documents.scan_table_documents(tables.table(spark, d, "documents")))
 
 
-@query("chunk_documents")
+@query("chunk_documents", f"with recursive {CHUNKS} select doc_id, chunk_no, chunk from chunks")
 def chunk_documents(spark, d):
     return _chunks(spark, d)
 
