@@ -134,5 +134,13 @@ def fk_orphans(fact: DataFrame, key: str, dimension: DataFrame, dimension_key: s
 
 def leaks(table: DataFrame, columns: tuple[str, ...], pattern_test) -> DataFrame:
     """Rows in which any listed text column still holds personal data."""
-    found = reduce(lambda a, b: a | b, [F.coalesce(pattern_test(F.col(c)), F.lit(False)) for c in columns])
-    return table.where(found)
+    return table.where(_leaking(columns, pattern_test))
+
+
+def without_leaks(table: DataFrame, columns: tuple[str, ...], pattern_test) -> DataFrame:
+    """All other rows; null texts hold nothing."""
+    return table.where(~_leaking(columns, pattern_test))
+
+
+def _leaking(columns: tuple[str, ...], pattern_test) -> Column:
+    return reduce(lambda a, b: a | b, [F.coalesce(pattern_test(F.col(c)), F.lit(False)) for c in columns])

@@ -4,45 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from carelake.functions.privacy import has_leak
 from carelake.functions.text import relevance_line
+from carelake.operators import vectors
+from carelake.operators.quality import without_leaks
+from carelake.session import stored
 
 Embedder = Callable[[DataFrame], DataFrame]
 
+# Dimensions of the local embedder, and what it takes for a term.
+WIDTH, TERM = 256, r"[\p{L}\p{N}]+"
+
 # The wording around the context lines.
 BLOCK_HEAD = "\nCLINIC KNOWLEDGE BASE CONTEXT (retrieved automatically via RAG):\n"
 BLOCK_TAIL = "\n\nUse this context to estimate the 'potencial' field based on real service prices.\n"
 
 
-def fit_embedder(chunks: DataFrame, width: int = 256) -> PipelineModel:
-    """A local text embedder: hashed terms weighted by rarity, length one.
+def hashed_terms(text: Column, width: int = WIDTH) -> Column:
+    """The dimension of every term of a text: runs of letters and digits, lower case, by the first 32 bits of their MD5."""
+    terms = F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+    return F.transform(terms, lambda t: F.pmod(F.conv(F.left(F.md5(t), F.lit(8)), 16, 10).cast("bigint"), F.lit(width)).cast("int"))
+
 
-    Its state is one number per dimension, whatever the size of the corpus. The
-    chunks are read once here and once by ``embed_chunks``: pass a stored table.
+def fit_rarity(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
+    """One row, ``rarity``: for each dimension ln((chunks + 1) / (chunks with it + 1)).
+
+    Chunks are counted by dimension before the shuffle, and the result has one
+    number for each dimension whatever the size of the corpus. Null chunks count
+    as chunks without terms.
     """
-    stages = [
-        RegexTokenizer(inputCol="chunk", outputCol="terms", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="terms", outputCol="counts", numFeatures=width),
-        IDF(inputCol="counts", outputCol="weighted"),
-        Normalizer(inputCol="weighted", outputCol="vector"),
-    ]
-    return Pipeline(stages=stages).fit(chunks)
+    seen = chunks.select(F.explode(F.array_distinct(hashed_terms(F.col("chunk"), width))).alias("dim")).groupBy("dim").agg(F.count("*").alias("n"))
+    counts = seen.agg(F.map_from_entries(F.collect_list(F.struct("dim", "n"))).alias("seen"))
+    total = chunks.agg(F.count("*").alias("total"))
+    rarity = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda d: F.log(
+        (F.col("total") + 1) / (F.coalesce(F.element_at("seen", d), F.lit(0)) + 1)))
+    return counts.join(total).select(rarity.alias("rarity"))
 
 
-def embed_chunks(chunks: DataFrame, embedder: PipelineModel | Embedder) -> DataFrame:
-    """Adds ``embedding`` (array of float).
+def fit_embedder(chunks: DataFrame, width: int = WIDTH) -> Embedder:
+    """A local text embedder: hashed terms weighted by rarity, length one, made of built-in functions only.
 
-    ``embedder`` is a fitted pipeline or any function that adds the column,
-    for example one built on ``predict_batch_udf`` for a model of the user's.
+    The chunks are read once here, and once by ``embed_chunks``: pass a stored table.
     """
-    if not isinstance(embedder, PipelineModel):
-        return embedder(chunks)
-    embedded = embedder.transform(chunks)
-    return embedded.select(*chunks.columns, vector_to_array("vector", "float32").alias("embedding"))
+    # One row, with a number for each dimension.
+    rarity = stored(fit_rarity(chunks, width), "rarity")
+
+    def embed(rows: DataFrame) -> DataFrame:
+        dims = F.col("_dims")
+        weighed = (rows.withColumn("_all", hashed_terms(F.col("chunk"), width)).withColumn("_dims", F.array_sort(F.array_distinct("_all")))
+                   .withColumn("_rarity", rarity.scalar())
+                   .withColumn("_weights", F.transform(dims, lambda d: (F.size("_all") - F.size(F.array_remove("_all", d))) * F.col("_rarity")[d])))
+        norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w * w))
+        weighed = weighed.withColumn("_norm", norm)
+        value = lambda d: F.coalesce(F.when(F.col("_norm") > 0, F.try_element_at("_weights", F.nullif(F.array_position(dims, d), F.lit(0)).cast("int")) / F.col("_norm")), F.lit(0.0))
+        return weighed.select(*rows.columns, F.transform(F.sequence(F.lit(0), F.lit(width - 1)), value).alias("embedding"))
+
+    return embed
+
+
+def embed_chunks(chunks: DataFrame, embedder: Embedder) -> DataFrame:
+    """Adds ``embedding``, an array of numbers.
+
+    ``embedder`` is ``fit_embedder``'s or any function that adds the column, for
+    example one built on ``predict_batch_udf`` for a model of the user's. Chunks
+    without terms, null ones too, have all zeros from ``fit_embedder``'s.
+    """
+    return embedder(chunks)
 
 
 def search_results(ranked: DataFrame, chunks: DataFrame, questions: DataFrame) -> DataFrame:
@@ -71,3 +100,16 @@ def rag_block(results: DataFrame) -> DataFrame:
     lined = rag_lines(results)
     block = F.concat(F.lit(BLOCK_HEAD), F.col("lines"), F.lit(BLOCK_TAIL))
     return lined.select("query_id", F.when(F.col("lines") == "", "").otherwise(block).alias("block"))
+
+
+def answer_blocks(questions: DataFrame, chunks: DataFrame, embedder: Embedder, k: int = 3) -> DataFrame:
+    """From text to context: (query_id, block) for questions (id, text), from embedded chunks (id, text, vec, collection).
+
+    Questions have a collection, too, and are embedded as the chunks were. Chunks
+    in which personal data is found are never shown: they are searched as if
+    they weren't there. A question without hits has an empty block.
+    """
+    safe = without_leaks(chunks, ("text",), has_leak)
+    asked = embed_chunks(questions.withColumnRenamed("text", "chunk"), embedder).withColumnRenamed("embedding", "vec")
+    ranked = vectors.topk_cosine(asked.select("id", "collection", "vec"), safe.select("id", "collection", "vec"), k)
+    return rag_block(search_results(ranked, safe.select("id", "text"), questions))

@@ -1,5 +1,8 @@
 """Chunking, embedding and vector search against brute force."""
 
+import hashlib
+import re
+
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -183,3 +186,25 @@ def test_own_embedder(spark):
     chunks = spark.createDataFrame([(1, 0, "x")], "doc_id long, chunk_no int, chunk string")
     row = knowledge.embed_chunks(chunks, lambda c: c.withColumn("embedding", F.array(F.lit(1.0)))).first()
     assert row.embedding == [1.0]
+
+
+def test_embedder_equals_numpy(spark):
+    texts = ["Price, price of WHITENING", "the price", "über Größe 42", "", None, "the the the x"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, chunk string")
+    dims = [[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 16 for t in re.findall(r"[^\W_]+", (text or "").lower())] for text in texts]
+    rarity = np.array([np.log(7 / (sum(d in x for x in dims) + 1)) for d in range(16)])
+    for got, own in zip(knowledge.fit_embedder(rows, 16)(rows).orderBy("id").collect(), dims):
+        weights = np.bincount(own, minlength=16) * rarity
+        norm = np.linalg.norm(weights)
+        assert np.allclose(got.embedding, weights / norm if norm else weights)
+
+
+def test_answers_never_show_personal_data(spark):
+    texts = ["Whitening costs 300, call +5581999990000", "Whitening is quick", "Parking is free", "CPF 123.456.789-00 whitening whitening"]
+    chunks = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, chunk string")
+    embedder = knowledge.fit_embedder(chunks)
+    known = embedder(chunks).select("id", F.col("chunk").alias("text"), F.col("embedding").alias("vec"), F.lit("c").alias("collection"))
+    questions = spark.createDataFrame([(1, "whitening?", "c"), (2, "whitening?", "other"), (3, None, "c")], "id long, text string, collection string")
+    blocks = {r.query_id: r.block for r in knowledge.answer_blocks(questions, known, embedder, 3).collect()}
+    assert "quick" in blocks[1] and "free" in blocks[1] and "5581" not in blocks[1] and "CPF" not in blocks[1]
+    assert blocks[2] == "" and blocks.keys() == {1, 2, 3}

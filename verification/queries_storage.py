@@ -22,7 +22,11 @@ from verification.queries_models import (
 )
 from verification.queries_records import MERGED_COLUMNS, MERGED_SQL, live_contacts
 from verification.registry import query, shown
-from verification.sql_knowledge import CHUNKS
+from verification.sql_knowledge import CHUNKS, EMBEDDINGS, LEAKS
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
 
 DAYS = [dt.date(2024, 12, 30), dt.date(2024, 12, 31), dt.date(2025, 1, 1)]
 
@@ -159,14 +163,39 @@ def chunk_fixed_window(spark, d):
     return chunking.chunk_fixed_window(tables.table(spark, d, "documents"))
 
 
-@query("embed_chunks")
+_CHUNK_ID = 1_000_000
+_TEXTS = f"texts as (select 'chunk' as kind, doc_id * {_CHUNK_ID} + chunk_no as id, chunk from chunks)"
+
+
+@query("embed_chunks", f"""with recursive {CHUNKS}, {_TEXTS}, {EMBEDDINGS}
+select id // {_CHUNK_ID} as doc_id, id % {_CHUNK_ID} as chunk_no, array_to_string(list_transform(vec, lambda x: cast(round(x * 1e6) as bigint)), ',') as embedding
+from embedded""")
 def embed_chunks(spark, d):
+    """The vectors, in millionths."""
     chunks = stored(_chunks(spark, d), "chunks")
     embedded = knowledge.embed_chunks(chunks, knowledge.fit_embedder(chunks))
-    return embedded.select(
-        "doc_id", "chunk_no", F.size("embedding").alias("width"),
-        F.size(F.filter("embedding", lambda x: x != 0)).alias("nonzero"),
-    )
+    millionths = F.transform("embedding", lambda x: F.round(x * 1e6).cast("bigint"))
+    return embedded.select("doc_id", "chunk_no", F.array_join(millionths, ",").alias("embedding"))
+
+
+@query("answer_blocks", f"""with recursive {CHUNKS}, texts as (
+    select 'chunk' as kind, doc_id * {_CHUNK_ID} + chunk_no as id, chunk from chunks union all select 'question', item_id, text from benchmark),
+{EMBEDDINGS},
+safe as (select id, vec, chunk as text from embedded join texts using (kind, id) where kind = 'chunk' and not {LEAKS.replace('text', 'chunk')}),
+s as (select q.id as query_id, c.id as chunk_id, c.text, list_dot_product(q.vec, c.vec) as cosine from embedded q, safe c where q.kind = 'question'),
+ranked as (select *, row_number() over (partition by query_id order by round(cosine, 9) desc, chunk_id) as place from s)
+select query_id, {_literal(knowledge.BLOCK_HEAD)} || string_agg('  - [' || cast(round_even(round(cosine, 2) * 100, 0) as integer) || '% relevant] ' || text,
+    chr(10) order by place) || {_literal(knowledge.BLOCK_TAIL)} as block
+from ranked where place <= 3 group by query_id""")
+def answer_blocks(spark, d):
+    """Documents ingested; then each benchmark text as a question, answered by a block of context in one call."""
+    chunks = stored(_chunks(spark, d), "chunks")
+    embedder = knowledge.fit_embedder(chunks)
+    known = stored(knowledge.embed_chunks(chunks, embedder).select(
+        (F.col("doc_id") * _CHUNK_ID + F.col("chunk_no")).alias("id"), F.col("chunk").alias("text"), F.col("embedding").alias("vec"),
+        F.lit("docs").alias("collection")), "embedded")
+    questions = tables.table(spark, d, "benchmark").select(F.col("item_id").alias("id"), "text", F.lit("docs").alias("collection"))
+    return knowledge.answer_blocks(questions, known, embedder)
 
 
 def _vectors(spark, d):
@@ -286,10 +315,6 @@ def _results(spark, d):
     return knowledge.search_results(vectors.topk_cosine(points, points, 3), texts, points)
 
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 @query("rag_lines", _LINES_SQL + "select query_id, lines from lined")
 def rag_lines(spark, d):
     return knowledge.rag_lines(_results(spark, d))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from carelake.functions.privacy import LEAK_PATTERN
+from carelake.plans.knowledge import TERM, WIDTH
 from carelake.operators.chunking import CHUNK_OVERLAP, CHUNK_SIZE, SEPARATORS
 
 # What Python's strip() takes away.
@@ -57,3 +59,20 @@ cut as (
 chunks as (
     select doc_id, row_number() over (partition by doc_id order by place) - 1 as chunk_no, chunk from cut where chunk <> '')
 """
+
+_DIMS = f"list_transform(regexp_extract_all(lower(chunk), '{TERM}'), lambda t: cast('0x' || left(md5(t), 8) as bigint) % {WIDTH})"
+# Chunks and questions alike: ``texts`` has (kind, id, chunk), and rarity is that of the chunks.
+EMBEDDINGS = f"""
+dims as materialized (select kind, id, {_DIMS} as dims from texts),
+seen as (select dim, count(*) as n from (select unnest(list_distinct(dims)) as dim from dims where kind = 'chunk') group by dim),
+rare as (select d as dim, ln((total + 1) / (coalesce(n, 0) + 1)) as rarity from range({WIDTH}) t(d) left join seen on dim = d,
+    (select count(*) as total from dims where kind = 'chunk')),
+weights as materialized (select kind, id, dim, n * rarity as weight from (
+    select kind, id, dim, count(*) as n from (select kind, id, unnest(dims) as dim from dims) group by all) join rare using (dim)),
+norms as (select kind, id, sqrt(sum(weight * weight order by dim)) as norm from weights group by all),
+embedded as materialized (
+    select x.kind, x.id, list(case when norm > 0 then coalesce(weight, 0) / norm else 0 end order by d) as vec
+    from (select kind, id, d from dims, range({WIDTH}) t(d)) x left join norms n on n.kind = x.kind and n.id = x.id
+    left join weights w on w.kind = x.kind and w.id = x.id and w.dim = x.d group by x.kind, x.id)
+"""
+LEAKS = f"regexp_matches(text, '{LEAK_PATTERN}')"
