@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -81,40 +81,32 @@ def unexpected_values(table: DataFrame, column: str, accepted: tuple[str, ...])
 
 
 def table_report(name: str, table: DataFrame, wanted: TableChecks) -> DataFrame:
-    """(table_name, column_name, test, failures) for the checks of one table.
+    """(table_name, column_name, test, failures) for the checks of one table, from one pass over it.
 
     As in declarative test runners, not_null counts rows, while unique and
-    accepted_values count distinct offending values. All not_null and one
-    unique check share a pass: rows are first counted per key value, together
-    with their NULLs. The accepted_values checks share another, which only
-    shuffles offending values.
+    accepted_values count distinct offending values. A row gives an entry
+    (check, value) for every null that must not be, every value that must be
+    unique, and every value outside its list; entries are counted before the
+    shuffle, so neither a hot value nor a column of nulls gathers in one task.
     """
-    nulls = {c: F.count_if(F.col(c).isNull()).alias(f"{c}|not_null") for c in wanted.not_null}
-    summed = [F.coalesce(F.sum(f"`{c}|not_null`"), F.lit(0)).alias(f"{c}|not_null") for c in wanted.not_null]
-    first_key, other_keys = wanted.unique[:1], wanted.unique[1:]
-    if first_key:
-        per_value = table.groupBy(F.col(first_key[0]).alias("__value")).agg(F.count("*").alias("__n"), *nulls.values())
-        repeated = F.count_if((F.col("__n") > 1) & F.col("__value").isNotNull())
-        counts = per_value.agg(*summed, repeated.alias(f"{first_key[0]}|unique"))
-    else:
-        counts = table.agg(*nulls.values())
-    parts = [counts]
-    for key in other_keys:
-        parts.append(duplicates(table, key).agg(F.count("*").alias(f"{key}|unique")))
-    if wanted.accepted:
-        offending = F.array_compact(F.array(*[
-            F.when(~F.col(c).isin(*values), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")))
-            for c, values in wanted.accepted.items()
-        ]))
-        distinct = table.select(F.inline(offending)).distinct()
-        parts.append(distinct.agg(*[
-            F.count_if(F.col("column") == c).alias(f"{c}|accepted_values") for c in wanted.accepted
-        ]))
+    checks = {f"{c}|not_null": F.when(F.col(c).isNull(), F.lit("")) for c in wanted.not_null}
+    checks |= {f"{c}|unique": F.col(c).cast("string") for c in wanted.unique}
+    checks |= {f"{c}|accepted_values": F.when(~F.col(c).isin(*values), F.col(c).cast("string")) for c, values in wanted.accepted.items()}
+    if not checks:
+        return table.sparkSession.createDataFrame([], "table_name string, column_name string, test string, failures bigint")
+    entries = F.array_compact(F.array(*[F.when(value.isNotNull(), F.struct(F.lit(check).alias("check"), value.alias("value")))
+                                        for check, value in checks.items()]))
+    counted = table.select(F.inline(entries)).groupBy("check", "value").agg(F.count("*").alias("n"))
+
+    def failures(check: str):
+        own = F.col("check") == check
+        if check.endswith("|not_null"):
+            return F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0))
+        return F.count_if(own & (F.col("n") > 1)) if check.endswith("|unique") else F.count_if(own)
+
     named = F.split("check", r"\|")
-    rows = [p.unpivot([], p.columns, "check", "failures") for p in parts]
-    return reduce(DataFrame.union, rows).select(
-        F.lit(name).alias("table_name"), named[0].alias("column_name"), named[1].alias("test"), "failures"
-    )
+    rows = counted.agg(*[failures(check).alias(check) for check in checks]).unpivot([], list(checks), "check", "failures")
+    return rows.select(F.lit(name).alias("table_name"), named[0].alias("column_name"), named[1].alias("test"), "failures")
 
 
 def report(tables: dict[str, DataFrame], checks: dict[str, TableChecks] = DECLARED) -> DataFrame:
