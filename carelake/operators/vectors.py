@@ -8,6 +8,7 @@ never exist as rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ RANK_DECIMALS = 9
 
 
 def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
-    """(group..., <prefix>_ids, <prefix>_values): vectors of a group, side by side.
+    """(group..., <prefix>_ids, <prefix>_values, <prefix>_norms): vectors of a group, side by side, with their lengths.
 
     Packing happens inside each partition, without a shuffle. A block holds at
     most about a megabyte, in the precision of its input. Vectors must have
@@ -32,10 +33,11 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
     single = vectors.schema["vec"].dataType.elementType.typeName() == "float"
     kind, number = ("float", np.float32) if single else ("double", np.float64)
     fields = ", ".join(f"{name} string" for name in group)
-    schema = f"{fields}, {prefix}_ids array<bigint>, {prefix}_values array<{kind}>"
+    schema = f"{fields}, {prefix}_ids array<bigint>, {prefix}_values array<{kind}>, {prefix}_norms array<double>"
     arrow_schema = pa.schema(
         [(name, pa.string()) for name in group]
-        + [(f"{prefix}_ids", pa.list_(pa.int64())), (f"{prefix}_values", pa.list_(pa.from_numpy_dtype(number)))]
+        + [(f"{prefix}_ids", pa.list_(pa.int64())), (f"{prefix}_values", pa.list_(pa.from_numpy_dtype(number))),
+           (f"{prefix}_norms", pa.list_(pa.float64()))]
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,6 +50,7 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
             if len(pc.unique(pc.list_value_length(lists))) != 1:
                 raise ValueError("vectors of one collection table must have one width")
             matrix = lists.flatten().to_numpy(zero_copy_only=False).astype(number).reshape(batch.num_rows, -1)
+            norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix, dtype=np.float64))
             step = int(min(_BLOCK_ROWS, max(1, _BLOCK_BYTES // max(1, matrix[0].nbytes))))
             rows = []
             for key, places in keys.groupby(group, sort=False).indices.items():
@@ -58,6 +61,7 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
                         **dict(zip(group, names)),
                         f"{prefix}_ids": ids[part],
                         f"{prefix}_values": matrix[part].ravel(),
+                        f"{prefix}_norms": norms[part],
                     })
             yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
@@ -65,26 +69,49 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
     return flat.mapInArrow(pack, schema)
 
 
-def _unit_rows(values: np.ndarray, rows: int) -> np.ndarray:
-    """Rows scaled to length one; a zero row stays zero."""
-    matrix = values.astype(np.float64).reshape(rows, -1)
-    norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
-    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+def _block_pairs(queries: DataFrame, chunks: DataFrame, group: list[str]) -> DataFrame:
+    """Joined blocks, each pair of one group once.
+
+    Query blocks are broadcast if the optimizer's size check allows. Else the
+    blocks of a group lie on a grid: a chunk block has a row of it and goes to
+    every column, a query block has a column and goes to every row. The grid has
+    about as many cells as there are shuffle partitions, so one collection
+    keeps all tasks busy, and a side is copied by the root of that only.
+    """
+    side = math.ceil(math.sqrt(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    everywhere = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    place = lambda prefix: F.pmod(F.xxhash64(f"{prefix}_ids"), F.lit(side)).cast("int")
+    rows = pack_blocks(chunks, group, "c").withColumn("__row", place("c")).withColumn("__column", everywhere)
+    columns = pack_blocks(queries, group, "q").withColumn("__column", place("q")).withColumn("__row", everywhere)
+    return rows.join(columns, [*group, "__row", "__column"])
 
 
-def _block_pairs(queries: DataFrame, chunks: DataFrame, group: list[str]) -> DataFrame:
-    """Joined blocks. Query blocks are broadcast if the optimizer's size check
-    allows; else both sides shuffle by group and hot groups are split."""
-    return pack_blocks(chunks, group, "c").join(pack_blocks(queries, group, "q"), group)
+_PAIR = [f"{side}_{part}" for side in "qc" for part in ("ids", "values", "norms")]
 
 
 def _each_pair(batches: Iterator[pa.RecordBatch]):
-    """(query ids, chunk ids, cosine matrix) per joined row."""
+    """(query ids, chunk ids, cosine matrix) per joined row; a vector of length zero has cosine 0."""
     for batch in batches:
-        columns = [batch.column(name) for name in ("q_ids", "q_values", "c_ids", "c_values")]
+        columns = [batch.column(name) for name in _PAIR]
         for row in range(batch.num_rows):
-            q_ids, q_values, c_ids, c_values = (c[row].values.to_numpy(zero_copy_only=False) for c in columns)
-            yield q_ids, c_ids, _unit_rows(q_values, len(q_ids)) @ _unit_rows(c_values, len(c_ids)).T
+            q_ids, q_values, q_norms, c_ids, c_values, c_norms = (c[row].values.to_numpy(zero_copy_only=False) for c in columns)
+            dots = q_values.astype(np.float64).reshape(len(q_ids), -1) @ c_values.astype(np.float64).reshape(len(c_ids), -1).T
+            lengths = q_norms[:, None] * c_norms
+            yield q_ids, c_ids, np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
+
+
+def _best_places(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Per row, the columns of the k largest rounded scores in order, equal ones by id.
+
+    Score and rank of the id make one whole number, so the k best are parted
+    from the rest without sorting the row.
+    """
+    rank = np.empty(len(ids), np.int64)
+    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    keys = np.rint(scores * -(10**RANK_DECIMALS)).astype(np.int64) * len(ids) + rank
+    k = min(k, len(ids))
+    places = np.argpartition(keys, k - 1, axis=1)[:, :k]
+    return np.take_along_axis(places, np.argsort(np.take_along_axis(keys, places, axis=1), axis=1), axis=1)
 
 
 def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int) -> DataFrame:
@@ -93,9 +120,7 @@ def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for q_ids, c_ids, scores in _each_pair(batches):
-            ranked = np.round(scores, RANK_DECIMALS)
-            by_id = np.argsort(c_ids, kind="stable")
-            order = by_id[np.argsort(-ranked[:, by_id], axis=1, kind="stable")][:, :k]
+            order = _best_places(scores, c_ids, k)
             kept = order.shape[1]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -106,7 +131,7 @@ def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int)
                 schema=out,
             )
 
-    pairs = _block_pairs(queries, chunks, group).select("q_ids", "q_values", "c_ids", "c_values")
+    pairs = _block_pairs(queries, chunks, group).select(_PAIR)
     return pairs.mapInArrow(best, "query_id bigint, chunk_id bigint, cosine double")
 
 
@@ -140,7 +165,7 @@ def score_summary(queries: DataFrame, chunks: DataFrame, collection: str = "coll
                 schema=out,
             )
 
-    pairs = _block_pairs(queries, chunks, [collection]).select("q_ids", "q_values", "c_ids", "c_values")
+    pairs = _block_pairs(queries, chunks, [collection]).select(_PAIR)
     parts = pairs.mapInArrow(summarise, "query_id bigint, n bigint, best double, worst double, total double")
     return parts.groupBy("query_id").agg(
         F.sum("n").alias("n_chunks"), F.max("best").alias("best"), F.min("worst").alias("worst"),

@@ -7,9 +7,10 @@ options; ranges on a timestamp column split one table into parallel reads.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from carelake import schemas
 from carelake.functions.privacy import scrub_pii
@@ -24,6 +25,10 @@ CONTACT_DENYLIST = frozenset(
 )
 
 
+# Reads of one table; each is a connection's query, and a database takes only so many.
+MOST_READS = 10_000
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Connection options of one database; credentials come from the caller."""
@@ -55,6 +60,58 @@ class JdbcSource:
         """A lazy table; filters and column lists on it are pushed to the database."""
         return spark.read.format("jdbc").options(**self.options(table, **split)).load()
 
+    def bounds(self, spark: SparkSession, table: str, column: str) -> Row:
+        """(low, high, n) of a column, one row that the database computes."""
+        return self.table(spark, f"(select min({column}) as low, max({column}) as high, count(*) as n from {table}) bounds").first()
+
+    def split_table(self, spark: SparkSession, table: str, column: str, rows_per_read: int = 1_000_000) -> DataFrame:
+        """A lazy table in as many parallel reads as its size asks for, each of a range of ``column``.
+
+        One query asks for the smallest and largest value and the number of rows
+        first; an indexed number, date or timestamp suits best.
+        """
+        known = self.bounds(spark, table, column)
+        return spark.read.jdbc(self.url, table, predicates=split_predicates(column, known.low, known.high, known.n, rows_per_read),
+                               properties={"fetchsize": "10000", **self.properties})
+
+
+def split_predicates(column: str, low, high, rows: int, rows_per_read: int = 1_000_000) -> list[str]:
+    """Conditions that part a table into ranges of about ``rows_per_read`` rows, and one for its nulls.
+
+    Every row meets exactly one of them: the outer ranges are open, so rows that
+    were added beyond the bounds since are read, too. Ranges are equally wide;
+    values that crowd make some reads larger. A column of one value, or none,
+    gives one range.
+    """
+    if rows_per_read < 1:
+        raise ValueError("a read takes one row at least")
+    reads = min(max(1, -(-rows // rows_per_read)), MOST_READS)
+    cuts = []
+    if low is not None and high is not None and low < high:
+        cuts = sorted({_cut(low, high, i, reads) for i in range(1, reads)} - {low})
+    marks = [_literal(c) for c in cuts]
+    if not marks:
+        return [f"{column} is not null", f"{column} is null"]
+    inner = [f"{column} >= {a} and {column} < {b}" for a, b in zip(marks, marks[1:])]
+    return [f"{column} < {marks[0]}", *inner, f"{column} >= {marks[-1]}", f"{column} is null"]
+
+
+def _cut(low, high, part: int, parts: int):
+    """The value a share of the way from low to high, in the column's own type."""
+    if isinstance(low, dt.datetime):
+        return low + (high - low) * part / parts
+    if isinstance(low, dt.date):
+        return low + dt.timedelta(days=(high - low).days * part // parts)
+    if isinstance(low, int):
+        return low + (high - low) * part // parts
+    return low + (high - low) * part / parts
+
+
+def _literal(value) -> str:
+    if isinstance(value, dt.datetime):
+        return f"timestamp '{value:%Y-%m-%d %H:%M:%S.%f}'"
+    return f"date '{value}'" if isinstance(value, dt.date) else str(value)
+
 
 def live_rows(source: DataFrame) -> DataFrame:
     """Rows that were not soft-deleted."""

@@ -99,6 +99,29 @@ def test_topk_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_one_collection_keeps_all_tasks_busy(spark, monkeypatch):
+    """Without a broadcast the blocks of a single collection are dealt over most partitions, each pair once."""
+    monkeypatch.setattr(vectors, "_BLOCK_ROWS", 5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame, _, _ = points(spark, n=400, collections=1)
+        pairs = vectors._block_pairs(frame, frame, ["collection"])
+        sizes = pairs.select(F.spark_partition_id().alias("p"), F.size("q_ids") * F.size("c_ids")).groupBy("p").sum().collect()
+        assert len(sizes) >= 5 and sum(r[2] for r in sizes) == 400 * 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_best_places_equal_a_full_sort():
+    rng = np.random.default_rng(2)
+    scores, ids = rng.integers(-3, 3, (50, 40)) / 3 + rng.normal(size=(50, 40)) * 1e-12, rng.permutation(40) * 10**12
+    full = [sorted(range(40), key=lambda c: (-round(row[c], 9), ids[c]))[:7] for row in scores]
+    assert (vectors._best_places(scores, ids, 7) == full).all() and vectors._best_places(scores, ids, 99).shape == (50, 40)
+
+
 def test_widths_must_agree(spark):
     frame = spark.createDataFrame([(1, "a", [1.0, 2.0]), (2, "a", [1.0])], "id long, collection string, vec array<float>").coalesce(1)
     with pytest.raises(Exception, match="one width"):

@@ -190,6 +190,27 @@ def test_jdbc_options():
         source.options("contact", "created_at")
 
 
+@pytest.mark.parametrize("values", [
+    [1, 2, 3, 50, 51, 10**12, None], [Decimal("-1.5"), Decimal("2.25"), Decimal("2.5")], [7, 7], [None], [],
+    [dt.date(2024, 1, 1) + dt.timedelta(days=i * i) for i in range(30)] + [None, None],
+    [dt.datetime(2024, 1, 1, 5) + dt.timedelta(seconds=i**3) for i in range(60)],
+])
+@pytest.mark.parametrize("rows_per_read", [1, 3, 1000])
+def test_split_reads_take_every_row_once(spark, values, rows_per_read):
+    known = [v for v in values if v is not None]
+    low, high = (min(known), max(known)) if known else (None, None)
+    predicates = jdbc.split_predicates("c", low, high, len(values), rows_per_read)
+    assert len(predicates) <= len(values) // rows_per_read + 2 + (not values)
+    kind = {dt.date: "date", dt.datetime: "timestamp_ntz", Decimal: "decimal(9,2)"}.get(type(low), "long")
+    # Rows that came after the bounds were asked for are read, too.
+    more = [] if low is None else [low - (high - low), high + (high - low)]
+    frame = spark.createDataFrame([(v,) for v in values + more], f"c {kind}")
+    counts = frame.agg(*[F.count_if(F.expr(p)).alias(f"n{i}") for i, p in enumerate(predicates)]).first()
+    assert sum(counts) == len(values + more)
+    met = frame.select(sum((F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates), F.lit(0)).alias("n"))
+    assert met.where("n <> 1").count() == 0
+
+
 # -- snapshots ----------------------------------------------------------------
 
 
