@@ -9,7 +9,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -26,6 +25,7 @@ GZIP = b"\x1f\x8b"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ID = "urn:page:"
 _FIELD = re.compile(rb"^([A-Za-z-]+): (.*)$")
+_LENGTH = re.compile(rb"\r\nContent-Length: ([0-9]+)(?=\r\n)", re.I)
 
 
 def base32(hex_digest: Column) -> Column:
@@ -93,24 +93,28 @@ def fields_of(head: bytes) -> dict[str, str]:
     return found
 
 
-def candidates(content: bytes) -> Iterator[tuple[int, int, int, dict[str, str]]]:
-    """(offset, successor, payload offset, fields) of all that looks like a record, inside payloads too.
+def candidates(content: bytes) -> Iterator[tuple[int, int, int]]:
+    """(offset, successor, payload offset) of all that looks like a record, inside payloads too.
 
     A candidate begins with the magic line at the file's start or after a blank
     line, and has a header with a length that stays in the file and ends in a
-    blank line.
+    blank line. Nothing else of it is read, so whatever a payload holds costs
+    one look at its bytes.
     """
-    at = content.find(MAGIC)
+    digits, at = len(str(len(content))), content.find(MAGIC)
     while at >= 0:
         if at == 0 or content[at - 4:at] == BREAK:
             end = content.find(BREAK, at)
-            fields = fields_of(content[at:end]) if end >= 0 else {}
-            length = fields.get("content-length", "")
-            if length.isdecimal():
+            given = _LENGTH.findall(content, at, end + 2) if end >= 0 else []
+            length = given[-1].lstrip(b"0") or b"0" if given else b""
+            if length and len(length) <= digits:
                 after = end + 4 + int(length)
                 if content[after:after + 4] == BREAK:
-                    yield at, after + 4, end + 4, fields
-        at = content.find(MAGIC, at + 1)
+                    yield at, after + 4, end + 4
+            # No other record can begin before this header's end.
+            at = content.find(MAGIC, at + 1) if end < 0 else content.find(MAGIC, end)
+        else:
+            at = content.find(MAGIC, at + 1)
 
 
 def reachable(offsets: np.ndarray, successors: np.ndarray) -> np.ndarray:
@@ -136,40 +140,45 @@ RECORDS = T.StructType([
     T.StructField("payload_digest", T.StringType())])
 
 
+def records(content: bytes) -> Iterator[tuple]:
+    """The records of one archive: offset, successor, page, url, type, what it refers to, length and digest of the payload.
+
+    Candidates are offsets and successors only; pointer jumping from the file's
+    start says which are records, and those alone are parsed and hashed.
+    """
+    found = np.array(list(candidates(content)), np.int64).reshape(-1, 3)
+    for offset, after, start in found[reachable(found[:, 0], found[:, 1])].tolist():
+        fields = fields_of(content[offset:start - 4])
+        kind = fields.get("warc-type", "")
+        stated = fields.get("x-payload-length", "0")
+        if kind == "revisit":
+            size = int(stated) if stated.isascii() and stated.isdecimal() and len(stated) < 19 else None
+            digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
+        else:
+            payload = memoryview(content)[start:after - 4]
+            size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        yield (offset, after, fields.get("warc-record-id", ""), fields.get("warc-target-uri"), kind, fields.get("warc-refers-to"), size, digest)
+
+
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives in a folder, in no order, with digests taken from the payloads read.
 
-    Tasks read a file each and emit its candidates with their successors; then,
-    file by file, the chain from the file's start decides which are records.
-    A file's candidates are bounded by its size, which Spark's reader bounds.
+    A task reads a file, follows its chain from the start and emits what is on
+    it. A revisit's length is what its record states, null if that is no number.
     """
+    kinds = pa.schema([(f.name, pa.int64() if f.dataType == T.LongType() else pa.string()) for f in RECORDS])
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path_, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows, content = [], value.as_py()
+                content = value.as_py()
                 if content[:2] == GZIP:
                     content = gzip.decompress(content)
-                for offset, after, start, fields in candidates(content):
-                    kind = fields.get("warc-type", "")
-                    if kind == "revisit":
-                        size = int(fields.get("x-payload-length", "0"))
-                        digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-                    else:
-                        payload = memoryview(content)[start:after - 4]
-                        size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    rows.append((path_, offset, after, fields.get("warc-record-id", ""), fields.get("warc-target-uri"),
-                                 kind, fields.get("warc-refers-to"), size, digest))
+                rows = [dict(zip(RECORDS.names, (path_, *r))) for r in records(content)]
                 if rows:
-                    yield pa.RecordBatch.from_pylist([dict(zip(RECORDS.names, r)) for r in rows],
-                                                     schema=pa.schema([(f.name, pa.int64() if f.dataType == T.LongType()
-                                                                        else pa.string()) for f in RECORDS]))
-
-    def follow(file: pd.DataFrame) -> pd.DataFrame:
-        file = file.sort_values("offset", kind="stable")
-        return file[reachable(file["offset"].to_numpy(), file["successor"].to_numpy())]
+                    yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(scan, RECORDS).groupBy("path").applyInPandas(follow, RECORDS)
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(scan, RECORDS)
 
 
 def archive_round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
