@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -68,16 +69,18 @@ class Blocks:
     """Blocks of visible text of a page in order, with whether markup puts each in the article."""
 
     def __init__(self):
-        self.open: list[tuple[str, int, bool]] = []  # name, whether dropped from here on, in the article
-        self.blocks: list[tuple[str, bool]] = []
+        self.open: list[tuple[str, int, bool, bool]] = []  # name, whether dropped from here on, in the article, saved
+        self.names: Counter[str] = Counter()  # of what is open, so that stray end tags cost nothing
+        self.blocks: list[tuple[str, bool, bool]] = []
         self.text: list[str] = []
-        self.dropped, self.main = KEPT, False
+        # Saved: kept as an article, inside what its class or id calls furniture.
+        self.dropped, self.main, self.saved = KEPT, False, False
 
     def _break(self) -> None:
         if self.text:
             words = " ".join("".join(self.text).split())
             if words:
-                self.blocks.append((words, self.main))
+                self.blocks.append((words, self.main, self.saved))
             self.text = []
 
     def _start(self, tag: str, attributes: str) -> None:
@@ -92,24 +95,27 @@ class Blocks:
             marked = KEPT
         elif marked == NAMED and tag not in WRAPPERS:
             marked = DROP
-        # A layout's class can hold a word of furniture; an article in an article is a comment on it.
-        if tag in MAIN and self.dropped == NAMED and all(name != "article" for name, _, _ in self.open):
-            self.dropped = KEPT
+        # A layout's class can hold a word of furniture. There an article counts that doesn't name itself so, too;
+        # an article in an article is a comment on it.
+        if tag in MAIN and self.dropped == NAMED and not self.names["article"] and furniture(attributes) == KEPT:
+            self.dropped, self.saved = KEPT, True
         self.dropped, self.main = max(self.dropped, marked), self.main or tag in MAIN
-        self.open.append((tag, self.dropped, self.main))
+        self.open.append((tag, self.dropped, self.main, self.saved))
+        self.names[tag] += 1
 
     def _close(self, at: int) -> None:
-        if any(name in BLOCKS for name, _, _ in self.open[at:]):
+        closed = [name for name, *_ in self.open[at:]]
+        if any(name in BLOCKS for name in closed):
             self._break()
         del self.open[at:]
-        _, self.dropped, self.main = self.open[-1] if self.open else ("", KEPT, False)
+        self.names.subtract(closed)
+        _, self.dropped, self.main, self.saved = self.open[-1] if self.open else ("", KEPT, False, False)
 
     def _end(self, tag: str) -> None:
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self._close(at)
-                return
-        if tag in BLOCKS:
+        if self.names[tag]:
+            # All that is looked at here is closed, so a page takes time in proportion to its tags.
+            self._close(next(at for at in range(len(self.open) - 1, -1, -1) if self.open[at][0] == tag))
+        elif tag in BLOCKS:
             self._break()
 
     def of(self, page: str) -> list[tuple[str, bool]]:
@@ -133,7 +139,9 @@ class Blocks:
                 if tag in RAW_ENDS:
                     at = RAW_ENDS[tag].search(page, at).start()
         self._break()
-        return self.blocks
+        # Where the page has an article of its own, those in furniture are comments or teasers.
+        own = any(main and not saved for _, main, saved in self.blocks)
+        return [(text, main) for text, main, saved in self.blocks if not (own and saved)]
 
 
 PARSED = T.StructType([
