@@ -1,8 +1,10 @@
 """Array helpers for tasks: words and polynomial hashes of a batch of texts.
 
-All hashes are polynomials modulo 2**64 over random-looking 64-bit values, so a
-substring's hash is one subtraction and one product of prefix hashes. They are
-the same in every task and every run.
+A hash joins two polynomials over random-looking values, one modulo 2**64 and one
+modulo the prime 2**31 - 1, so a substring's hash is a subtraction and a product
+of prefix hashes each. Modulo a power of two alone, texts that repeat their own
+complement (Thue-Morse) agree whatever the base. Hashes are the same in every
+task and every run.
 """
 
 from __future__ import annotations
@@ -37,7 +39,14 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE_VALUES = mix((np.arange(1, 257, dtype=np.uint64)) * np.uint64(_ODD)) | np.uint64(1)
-_powers: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+_powers: dict[str, tuple[np.ndarray, ...]] = {}
+_PRIME, _SHIFT = np.uint64((1 << 31) - 1), np.uint64(31)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2**62 modulo the prime, up to the prime itself, which stands for 0."""
+    x = (x & _PRIME) + (x >> _SHIFT)
+    return (x & _PRIME) + (x >> _SHIFT)
 
 
 def _ladder(base: int, n: int) -> np.ndarray:
@@ -51,13 +60,26 @@ def _ladder(base: int, n: int) -> np.ndarray:
     return out
 
 
-def powers(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse, at least n of each."""
+def _small_ladder(base: int, n: int) -> np.ndarray:
+    """The same modulo the prime."""
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done:done + more] = _folded(out[:more] * np.uint64(pow(base, done, int(_PRIME))))
+        done += more
+    return out
+
+
+def powers(kind: str, n: int) -> tuple[np.ndarray, ...]:
+    """Powers of a base and of its inverse, at least n of each, modulo 2**64 and modulo the prime."""
     have = _powers.get(kind)
     if have is None or len(have[0]) < n:
         size = max(n, PIECE_BYTES + 1 if kind == "byte" else 400_000)
         base = _BASES[kind]
-        have = _ladder(base, size), _ladder(pow(base, -1, 1 << 64), size)
+        small = base % int(_PRIME)
+        have = (_ladder(base, size), _ladder(pow(base, -1, 1 << 64), size),
+                _small_ladder(small, size), _small_ladder(pow(small, -1, int(_PRIME)), size))
         if size <= 10 * PIECE_BYTES:  # an outsized text's tables are not kept
             _powers[kind] = have
     return have
@@ -67,12 +89,18 @@ class Prefixes:
     """Prefix hashes of a sequence of 64-bit values; hashes of any of its parts."""
 
     def __init__(self, values: np.ndarray, kind: str):
-        up, self.down = powers(kind, len(values) + 1)
-        self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[:len(values)], out=self.sums[1:])
+        n = len(values)
+        up, self.down, small_up, self.small_down = powers(kind, n + 1)
+        self.sums, self.small_sums = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        np.cumsum(values * up[:n], out=self.sums[1:])
+        # Below 2**31 each, so their sums stay exact.
+        np.cumsum(_folded((values >> np.uint64(33)) * small_up[:n]), out=self.small_sums[1:])
 
     def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.down[start])
+        wide = (self.sums[end] - self.sums[start]) * self.down[start]
+        small = _folded(_folded(self.small_sums[end] - self.small_sums[start]) * self.small_down[start])
+        small[small == _PRIME] = 0
+        return mix(wide + small * np.uint64(_ODD))
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:
