@@ -189,8 +189,9 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM)
     Counting is by partial aggregates; joins back to them can be split.
     """
     runs = stored(keyed(documents).mapInArrow(emit_runs(single_bytes, length, gram), RUNS), "byte-runs")
-    shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("anchor")
-    live = stored(runs.join(shared, "anchor"), "live-byte-runs")
+    shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select(F.col("anchor").alias("shared_anchor"))
+    # The null-safe comparison shuffles the aggregate anew; only then can a hot anchor's runs be split.
+    live = stored(runs.join(shared, F.col("anchor").eqNullSafe(F.col("shared_anchor"))).drop("shared_anchor"), "live-byte-runs")
     kinds = stored(live.groupBy("anchor", "run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "copy", "start", "windows", "at")).alias("head"))
         .select("anchor", "run", "n", "head.*"), "byte-run-kinds")
