@@ -57,7 +57,8 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     over the source's target. Items of all sources are sorted by finish time by
     range, and taken while their running total stays within the total size.
     Sizes are words, so empty and null texts have size 0 and are taken 0 times.
-    A null source is a source of its own. Columns in ``carry`` are kept. Repeated rows are separate documents.
+    A null source is a source of its own. Columns in ``carry`` are kept, and order rows
+    that tie in source, doc_id and size. Repeated rows are separate documents.
     Two range sorts of narrow rows; no source is gathered in one task. Extra
     columns are ignored. An empty table gives an empty table.
     """
@@ -65,7 +66,7 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     rows = documents.select(
         "doc_id", "source", *carry, size.alias("size"),
         F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("shuffle"))
-    by_source = [F.col("source").asc_nulls_last(), F.col("shuffle"), F.col("doc_id"), F.col("size")]
+    by_source = [F.col("source").asc_nulls_last(), F.col("shuffle"), F.col("doc_id"), F.col("size"), *map(F.col, carry)]
     rows = running_totals(rows, by_source, "size", "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     ahead = Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
