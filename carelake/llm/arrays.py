@@ -61,8 +61,8 @@ def _ladder(base: int, n: int) -> np.ndarray:
 
 
 def _small_ladder(base: int, n: int) -> np.ndarray:
-    """The same modulo the prime."""
-    out = np.ones(n, np.uint64)
+    """The same modulo the prime, in half the memory."""
+    out = np.ones(n, np.uint32)
     done = 1
     while done < n:
         more = min(done, n - done)
@@ -91,14 +91,17 @@ class Prefixes:
     def __init__(self, values: np.ndarray, kind: str):
         n = len(values)
         up, self.down, small_up, self.small_down = powers(kind, n + 1)
-        self.sums, self.small_sums = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint64)
+        self.sums, self.small_sums = np.zeros(n + 1, np.uint64), np.zeros(n + 1, np.uint32)
         np.cumsum(values * up[:n], out=self.sums[1:])
-        # Below 2**31 each, so their sums stay exact.
-        np.cumsum(_folded((values >> np.uint64(33)) * small_up[:n]), out=self.small_sums[1:])
+        # Below 2**31 each, so a stretch's sums stay exact; a stretch at a time keeps the working memory small.
+        for first in range(0, n, PIECE_BYTES):
+            last = min(first + PIECE_BYTES, n)
+            terms = _folded((values[first:last] >> np.uint64(33)) * small_up[first:last])
+            self.small_sums[first + 1:last + 1] = _folded(np.cumsum(terms) + self.small_sums[first].astype(np.uint64))
 
     def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         wide = (self.sums[end] - self.sums[start]) * self.down[start]
-        small = _folded(_folded(self.small_sums[end] - self.small_sums[start]) * self.small_down[start])
+        small = _folded(_folded(self.small_sums[end] + _PRIME - self.small_sums[start]) * self.small_down[start])
         small[small == _PRIME] = 0
         return mix(wide + small * np.uint64(_ODD))
 

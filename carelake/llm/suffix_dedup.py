@@ -19,7 +19,7 @@ LENGTH = 400
 GRAM = 100
 # An anchor with more different runs than this has its windows counted in Spark.
 CROWD = 4096
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 6_000_000
 
 REGIONS = T.StructType([
     T.StructField("anchor", T.LongType()), T.StructField("n", T.LongType()), T.StructField("doc", T.LongType()),
