@@ -219,15 +219,15 @@ RELATIONS = {
 _WORD = re.compile(r"[a-z_]+")
 
 
-def _closure(names: tuple[str, ...]) -> list[str]:
+def _closure(names: tuple[str, ...], relations: dict[str, str]) -> list[str]:
     """The relations needed, dependencies first."""
     ordered: list[str] = []
 
     def visit(name: str) -> None:
         if name in ordered:
             return
-        for used in _WORD.findall(RELATIONS[name]):
-            if used in RELATIONS and used != name:
+        for used in _WORD.findall(relations[name]):
+            if used in relations and used != name:
                 visit(used)
         ordered.append(name)
 
@@ -236,7 +236,8 @@ def _closure(names: tuple[str, ...]) -> list[str]:
     return ordered
 
 
-def with_tables(*names: str) -> str:
-    """A WITH clause; CTE names that equal column aliases cost nothing."""
-    parts = [f"{name} as ({RELATIONS[name].strip()})" for name in _closure(names)]
+def with_tables(*names: str, replaced: dict[str, str] | None = None) -> str:
+    """A WITH clause; CTE names that equal column aliases cost nothing. ``replaced`` gives some relations anew."""
+    relations = RELATIONS | (replaced or {})
+    parts = [f"{name} as ({relations[name].strip()})" for name in _closure(names, relations)]
     return "with " + ",\n".join(parts) + "\n"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from carelake.functions import privacy, text
 from carelake.operators import contacts as crm, contracts, quality
-from carelake.plans import marts, publish, staging
+from carelake.plans import intake, marts, publish, staging
 from carelake.session import scratch_path, stored
 from carelake.sources import jdbc, tables
 from verification.prelude import with_tables
@@ -242,7 +242,8 @@ def match_phone_equi(spark, d):
     return crm.match_by_equal_phone(tables.chat_messages(spark, d), live_contacts(spark, d))
 
 
-MERGED_SQL = with_tables("contacts", "contact_matches", "crm_notes", "valid_summaries") + """
+_MERGE_NEEDS = ("contacts", "contact_matches", "crm_notes", "valid_summaries")
+_MERGE_SQL = """
 , keyed as (
     select v.*, n.note, coalesce(m.contact_id, 'new:' || v.clean) as target
     from valid_summaries v join crm_notes n using (event_id) join contact_matches m on m.clean = v.clean),
@@ -271,6 +272,7 @@ select coalesce(c.id, left(sha256(ch.target), 17)) as id,
        cast(case when ch.target is null then c.c_qtd_consultas else ch.qtd_consultas end as bigint) as c_qtd_consultas,
        case when c.id is null then 'inserted' when ch.target is null then 'unchanged' else 'updated' end as merge_action
 from contacts c full outer join changes ch on c.id = ch.target"""
+MERGED_SQL = with_tables(*_MERGE_NEEDS) + _MERGE_SQL
 MERGED_COLUMNS = (
     "id", "first_name", "last_name", "phone_number", "c_status_atendimento", "c_lifetime_value", "c_aisummary",
     "c_potencial_venda", "c_potencial_venda_currency", "c_qtd_consultas", "merge_action",
@@ -282,6 +284,49 @@ def merge_contacts(spark, d):
     return crm.upsert_contacts(live_contacts(spark, d), valid_summaries(spark, d)).select(*MERGED_COLUMNS)
 
 
+# -- from payloads to contacts ---------------------------------------------------
+
+_ANSWERED = {
+    "phones": "select distinct clean from valid_summaries",
+    "summary_json": """
+        select conv_id * 1000 + turn as event_id, '+55 81 9' || lpad(cast(conv_id as varchar), 8, '0') as phone,
+               timestamp '2024-01-01' + to_seconds(conv_id * 1000 + turn) as ts,
+               '{"cliente": "' || role || ' ' || length(text) || '", "intencao": "' || case length(text) % 4 when 0 then 'Inquiry'
+               when 1 then 'Scheduling' when 2 then 'Complaint' else 'Sale' end || '", "potencial": ' || length(text)
+               || ', "qtd_consultas": ' || length(text) % 20 || '}' as summary_json
+        from conversations where role <> 'system' and regexp_matches(text, '[^\\s]')""",
+}
+
+
+def _payloads(spark, d) -> DataFrame:
+    rows = tables.payload_json(spark, d).withColumn("event_id", F.col("conv_id") * 1000 + F.col("turn"))
+    return rows.withColumn("ts", F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, event_id)"))
+
+
+def _answer(messages: DataFrame) -> DataFrame:
+    """Stands for the model: a summary from the length of the message; every fourth breaks the contract."""
+    size = F.length("message")
+    intent = F.element_at(F.array(*map(F.lit, ("Inquiry", "Scheduling", "Complaint", "Sale"))), size % 4 + 1)
+    return messages.withColumn("summary_json", F.concat(
+        F.lit('{"cliente": "'), "patient_name", F.lit(" "), size.cast("string"), F.lit('", "intencao": "'), intent, F.lit('", "potencial": '),
+        size.cast("string"), F.lit(', "qtd_consultas": '), (size % 20).cast("string"), F.lit("}")))
+
+
+@query("intake_contacts", with_tables(*_MERGE_NEEDS, replaced=_ANSWERED) + _MERGE_SQL)
+def intake_contacts(spark, d):
+    """Webhook payloads checked, summarised, checked again and merged into the contacts."""
+    return intake.take_in(_payloads(spark, d), live_contacts(spark, d), _answer).contacts.select(*MERGED_COLUMNS)
+
+
+@query("intake_quarantine", with_tables("checked", replaced=_ANSWERED) + """
+select event_id, 'summary' as stage, violations as reason from checked where violations <> ''
+union all select conv_id * 1000 + turn, 'payload', concat_ws(',', case when role = 'system' then 'phone' end,
+    case when role not in ('user', 'assistant') or not coalesce(regexp_matches(text, '[^\\s]'), false) then 'message' end)
+from conversations where role not in ('user', 'assistant') or not coalesce(regexp_matches(text, '[^\\s]'), false)""")
+def intake_quarantine(spark, d):
+    return intake.take_in(_payloads(spark, d), live_contacts(spark, d), _answer).quarantine
+
+
 # -- data quality --------------------------------------------------------------
 
 
