@@ -71,6 +71,13 @@ def duplicates(table: DataFrame, column: str) -> DataFrame:
     )
 
 
+def repeated_keys(keyed: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(table_name, repeated): for tables and their keys, how many rows more than distinct keys; nulls are no keys."""
+    parts = [duplicates(table, key).agg(F.lit(name).alias("table_name"), F.coalesce(F.sum(F.col("n_records") - 1), F.lit(0)).alias("repeated"))
+             for name, (table, key) in keyed.items()]
+    return reduce(DataFrame.union, parts)
+
+
 def unexpected_values(table: DataFrame, column: str, accepted: tuple[str, ...]) -> DataFrame:
     """(value, n_records) of values outside the list; NULL passes."""
     return (

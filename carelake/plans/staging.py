@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from carelake.functions.privacy import hash_id_salted
+from carelake.functions.privacy import hash_id_salted, hash_id_unsalted
 from carelake.functions.text import is_nonblank, summary_quality
 
 
@@ -51,3 +51,21 @@ def stg_ai_summaries(contacts: DataFrame) -> DataFrame:
         "created_at",
         "modified_at",
     )
+
+
+# The names that a contact's columns get.
+SUMMARY_NAMES = {
+    "c_aisummary": "ai_summary",
+    "c_lifetime_value_currency": "lifetime_value_moeda",
+    "c_potencial_venda_currency": "potencial_venda_moeda",
+}
+
+
+def renamed(rows: DataFrame, names: dict[str, str], *kept: str) -> DataFrame:
+    """The kept columns as they are, then the named ones by their new names."""
+    return rows.select(*kept, *[F.col(old).alias(new) for old, new in names.items()])
+
+
+def replace_identifier(rows: DataFrame, column: str) -> DataFrame:
+    """``<column>_hash``, its unsalted digest, in place of an identifying column."""
+    return rows.withColumn(f"{column}_hash", hash_id_unsalted(F.col(column))).drop(column)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 
 from carelake.operators.chunking import chunk_fixed_window
 from carelake.operators.grouping import join_lookup
-from carelake.sources import collections, snapshots
+from carelake.sources import collections, snapshots, written
 
 DAY = dt.date(2024, 1, 1)
 
@@ -121,3 +121,18 @@ def test_emptied_collections(spark, tmp_path):
     collections.replace_collections(rows, path)
     collections.replace_collections(rows.where("id = 1").withColumn("id", F.lit(9)), path, ["a", "x/y"])
     assert {(r.id, r.collection) for r in spark.read.parquet(path).collect()} == {(9, "a"), (3, "c")}
+
+
+def test_written_partitions_views_and_counts(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (-3, "z")], "id int, dt string")
+    written.write_partition(rows, root, "dt", "2024-01-01")
+    written.write_partition(rows.limit(0), root, "dt", "2024-01-02")
+    again = written.write_partition(rows.where("id = 1"), root, "dt", "2024-01-01")
+    assert [r.id for r in again.collect()] == [1] and spark.read.parquet(root).count() == 1
+    views = [written.materialize_view(rows.where(f"id = {i}")) for i in (1, 2)]
+    assert [spark.table(v).first().id for v in views] == [1, 2]
+    counts = written.StageCounts()
+    kept = counts.passing(counts.passing(rows, "all").where("id > 0"), "kept")
+    assert written.materialize_table(kept, f"{root}-table").count() == 2
+    assert [tuple(r) for r in counts.table(spark).collect()] == [("all", 3), ("kept", 2)]

@@ -78,19 +78,12 @@ union all select 'dim_services', count(*) - count(distinct service_key) from dim
 union all select 'dim_date', count(*) - count(distinct date_key) from dim_date
 union all select 'fact_interactions', count(*) - count(distinct interaction_id) from fact_interactions""")
 def pk_check(spark, d):
-    keyed = {
+    return quality.repeated_keys({
         "dim_patients": (patients(spark, d), "patient_key"),
         "dim_services": (services(spark, d), "service_key"),
         "dim_date": (dates(spark, d), "date_key"),
         "fact_interactions": (fact(spark, d), "interaction_id"),
-    }
-    parts = [
-        quality.duplicates(table, key).agg(
-            F.lit(name).alias("table_name"), F.coalesce(F.sum(F.col("n_records") - 1), F.lit(0)).alias("repeated")
-        )
-        for name, (table, key) in keyed.items()
-    ]
-    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    })
 
 
 _BY_INTENT = """

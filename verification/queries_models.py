@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from carelake.functions.privacy import hash_id_salted, hash_id_unsalted
 from carelake.plans import marts, staging
-from carelake.sources import jdbc, tables
+from carelake.sources import jdbc, tables, written
 from verification.prelude import AS_OF, SALT, with_tables
 from verification.registry import query, shown
 
@@ -142,19 +142,13 @@ def case_recency_nullsafe(spark, d):
 select id, c_aisummary as ai_summary, c_lifetime_value_currency as lifetime_value_moeda,
        c_potencial_venda_currency as potencial_venda_moeda from contacts""")
 def project_rename(spark, d):
-    return contacts_raw(spark, d).select(
-        "id",
-        F.col("c_aisummary").alias("ai_summary"),
-        F.col("c_lifetime_value_currency").alias("lifetime_value_moeda"),
-        F.col("c_potencial_venda_currency").alias("potencial_venda_moeda"),
-    )
+    return staging.renamed(contacts_raw(spark, d), staging.SUMMARY_NAMES, "id")
 
 
 @query("drop_identifier", with_tables("billing")
        + "select id, sha256(contato_id) as contato_id_hash, cast(valor as double) as valor from billing")
 def drop_identifier(spark, d):
-    hashed = billing(spark, d).withColumn("contato_id_hash", hash_id_unsalted(F.col("contato_id")))
-    return hashed.drop("contato_id").select("id", "contato_id_hash", "valor")
+    return staging.replace_identifier(billing(spark, d), "contato_id").select("id", "contato_id_hash", "valor")
 
 
 @query("with_run_date", with_tables("billing") + f"select id, '{AS_OF}' as silver_dt from billing")
@@ -242,12 +236,13 @@ select 'source' as stage, count(*) as n_rows from billing_source
 union all select 'live', count(*) from billing_source where deleted = 0
 union all select 'valid', count(*) from billing_source where deleted = 0 and valor > 0 and contato_id is not null""")
 def count_rows(spark, d):
-    live = F.col("deleted") == 0
-    valid = live & (F.col("valor") > 0) & F.col("contato_id").isNotNull()
-    counted = tables.billing_source(spark, d).agg(
-        F.count("*").alias("source"), F.count_if(live).alias("live"), F.count_if(valid).alias("valid")
-    )
-    return counted.unpivot([], ["source", "live", "valid"], "stage", "n_rows")
+    """Counted while the rows pass, by one run of the plan."""
+    counts = written.StageCounts()
+    source = counts.passing(tables.billing_source(spark, d), "source")
+    live = counts.passing(jdbc.live_rows(source), "live")
+    valid = counts.passing(live.where((F.col("valor") > 0) & F.col("contato_id").isNotNull()), "valid")
+    valid.write.format("noop").mode("overwrite").save()
+    return counts.table(spark)
 
 
 # -- windowed features ------------------------------------------------------

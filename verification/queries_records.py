@@ -8,7 +8,7 @@ from carelake.functions import privacy, text
 from carelake.operators import contacts as crm, contracts, quality
 from carelake.plans import intake, marts, publish, staging
 from carelake.session import scratch_path, stored
-from carelake.sources import jdbc, tables
+from carelake.sources import jdbc, tables, written
 from verification.prelude import with_tables
 from verification.queries_models import RUN_DATE, contacts_raw, stg_billing, stg_contacts
 from verification.registry import query
@@ -387,10 +387,8 @@ def dq_report(spark, d):
 @query("materialize_view", with_tables("stg_contacts") + """
 select status_atendimento, count(*) as contacts from stg_contacts group by status_atendimento""")
 def materialize_view(spark, d):
-    stg_contacts(spark, d).createOrReplaceTempView("carelake_stg_contacts")
-    return spark.sql(
-        "select status_atendimento, count(*) as contacts from carelake_stg_contacts group by status_atendimento"
-    )
+    name = written.materialize_view(stg_contacts(spark, d), "stg_contacts")
+    return spark.sql(f"select status_atendimento, count(*) as contacts from {name} group by status_atendimento")
 
 
 def _declared_models(tolerated: frozenset = frozenset()) -> list[publish.Model]:

@@ -14,7 +14,7 @@ from carelake import schemas
 from carelake.operators import chunking, signatures, vectors
 from carelake.plans import knowledge, marts
 from carelake.session import scratch_path, stored
-from carelake.sources import collections, documents, jdbc, snapshots, tables
+from carelake.sources import collections, documents, jdbc, snapshots, tables, written
 from carelake.streaming import sessions as session_stream, upsert
 from verification.prelude import with_tables
 from verification.queries_models import (
@@ -93,16 +93,13 @@ def scan_bronze_union_by_name(spark, d):
 
 @query("sink_silver_parquet", FEATURES_SQL)
 def sink_silver_parquet(spark, d):
-    path = scratch_path(spark, f"silver/dt={RUN_DATE}")
-    marts.silver_features(billing(spark, d), RUN_DATE).write.mode("overwrite").parquet(path)
-    return spark.read.option("basePath", path).parquet(path)
+    rows = marts.silver_features(billing(spark, d), RUN_DATE)
+    return written.write_partition(rows, scratch_path(spark, "silver"), "dt", str(RUN_DATE)).drop("dt")
 
 
 @query("materialize_table", with_tables("fct_ltv") + shown("fct_ltv", LTV_COLUMNS))
 def materialize_table(spark, d):
-    path = scratch_path(spark, "fct_ltv")
-    marts.fct_ltv(stg_billing(spark, d), RUN_DATE).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return written.materialize_table(marts.fct_ltv(stg_billing(spark, d), RUN_DATE), scratch_path(spark, "fct_ltv"))
 
 
 @query("src_jdbc_rag_audit", """
