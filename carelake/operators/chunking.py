@@ -18,8 +18,6 @@ CHUNK_SCHEMA = "doc_id bigint, chunk_no int, chunk string"
 def _atoms(text: str, level: int) -> list[str]:
     """Pieces of a text after its coarsest separator, each starting with it."""
     separator = SEPARATORS[level]
-    if separator == "":
-        return list(text)
     head, *tail = text.split(separator)
     return [piece for piece in (head, *(separator + t for t in tail)) if piece]
 
@@ -39,10 +37,22 @@ def _pack(pieces: list[str], size: int, overlap: int) -> Iterator[str]:
         yield "".join(pieces[start:])
 
 
+def _windows(text: str, size: int, overlap: int) -> Iterator[str]:
+    """What packing single characters comes to, without a list of them: a text without separators can be long."""
+    start, back = 0, min(overlap, size - 1)
+    while text:
+        yield text[start:start + size]
+        if start + size >= len(text):
+            return
+        start += size - back
+
+
 def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, level: int = 0) -> list[str]:
     """Chunks of at most ``size`` characters, cut at the coarsest separator that works."""
     while level < len(SEPARATORS) - 1 and SEPARATORS[level] not in text:
         level += 1
+    if SEPARATORS[level] == "":
+        return [stripped for chunk in _windows(text, size, overlap) if (stripped := chunk.strip())]
     chunks: list[str] = []
     run: list[str] = []
     for atom in _atoms(text, level):
@@ -51,10 +61,7 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
             continue
         chunks.extend(_pack(run, size, overlap))
         run = []
-        if level + 1 < len(SEPARATORS):
-            chunks.extend(split_text(atom, size, overlap, level + 1))
-        else:
-            chunks.append(atom)
+        chunks.extend(split_text(atom, size, overlap, level + 1))
     chunks.extend(_pack(run, size, overlap))
     return [stripped for chunk in chunks if (stripped := chunk.strip())]
 

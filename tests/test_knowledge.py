@@ -39,6 +39,15 @@ def test_split_cases():
     assert chunking.split_text("p1\n\np2\n\np3", 7, 2) == ["p1\n\np2", "p3"]
 
 
+@pytest.mark.parametrize("size, overlap", [(4, 1), (5, 4), (5, 9), (1, 0), (1, 3), (10, 0)])
+def test_characters_are_packed_like_any_pieces(size, overlap):
+    for n in range(1, 40):
+        text = "".join(chr(97 + i % 26) for i in range(n))
+        packed = list(chunking._pack(list(text), size, overlap)) if size > 1 else list(text)
+        assert list(chunking._windows(text, size, overlap)) == packed
+    assert list(chunking._windows("", size, overlap)) == []
+
+
 def test_chunks_of_documents(spark):
     docs = spark.createDataFrame([(1, "w " * 600), (2, None), (3, "")], "doc_id long, text string")
     rows = chunking.chunk_documents(docs).collect()
