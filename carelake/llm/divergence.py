@@ -45,6 +45,7 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, source, text) -> partial counts (lang, source, term, n, docs), and a row without a term for every group."""
     occurrences: dict[tuple, Counter] = defaultdict(Counter)
     documents: dict[tuple, Counter] = defaultdict(Counter)
+    size = 0  # terms and groups held
 
     def held() -> Iterator[pa.RecordBatch]:
         for (lang, source), counts in occurrences.items():
@@ -61,14 +62,18 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column(2))
         for i, group in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             seen: set[bytes] = set()
+            size += group not in occurrences
             counts = occurrences[group]
+            before = len(counts)
             for terms in pieces_of_terms(data[offsets[i]:offsets[i + 1]].tobytes()):
                 counts.update(terms)
                 new = set(terms) - seen
                 documents[group].update(new)
                 seen |= new
-            if sum(map(len, occurrences.values())) > HELD_TERMS:
+            size += len(counts) - before
+            if size > HELD_TERMS:
                 yield from held()
+                size = 0
     yield from held()
 
 

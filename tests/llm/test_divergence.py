@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from carelake.llm import divergence
 
@@ -66,6 +67,23 @@ def test_many_sources_few_terms(spark):
     assert got(spark, rows, least=20, top=3) == expected(rows, 20, 3)
 
 
+def test_partial_counts_add_up(monkeypatch):
+    """Whatever a task holds before it hands on, every group shows and the sums are the same."""
+    rows = [(lang, source, text) for _, text, lang, source in odd_rows()[:300]]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[i] or "" for r in rows[at:at + 70]], pa.string()) for i in range(3)], names=["lang", "source", "text"])
+               for at in range(0, 300, 70)]
+    sums = []
+    for held in (1, 500, 10**6):
+        monkeypatch.setattr(divergence, "HELD_TERMS", held)
+        total = Counter()
+        for batch in divergence.count_terms(iter(batches)):
+            for r in batch.to_pylist():
+                total[r["lang"], r["source"], r["term"], "n"] += r["n"]
+                total[r["lang"], r["source"], r["term"], "docs"] += r["docs"]
+        sums.append(dict(total))
+    assert sums[0] == sums[1] == sums[2] and {k[:2] for k in sums[0]} == {(r[0] or "", r[1] or "") for r in rows}
+
+
 def test_no_documents(spark):
     assert not got(spark, [])
 
