@@ -108,15 +108,16 @@ def candidates(queries: DataFrame, chunks: DataFrame, kept: int = RERANKED, coll
     """
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            found = []
             for row in range(batch.num_rows):
                 q_ids, c_ids = (batch.column(i)[row].values.to_numpy(zero_copy_only=False) for i in (0, 2))
                 q_bits, c_bits = (np.frombuffer(batch.column(i)[row].as_py(), np.uint8).reshape(len(ids), -1) for i, ids in ((1, q_ids), (3, c_ids)))
                 by_id = np.argsort(c_ids, kind="stable")
                 counts = differing_bits(_wide(q_bits), _wide(c_bits[by_id]))
                 best = np.argsort(counts, axis=1, kind="stable")[:, :kept]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(q_ids, best.shape[1])), pa.array(c_ids[by_id][best].ravel()),
-                    pa.array(np.take_along_axis(counts, best, 1).ravel().astype(np.int32))], names=["query_id", "chunk_id", "differing"])
+                found.append((np.repeat(q_ids, best.shape[1]), c_ids[by_id][best].ravel(), np.take_along_axis(counts, best, 1).ravel().astype(np.int32)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*found)], names=["query_id", "chunk_id", "differing"])
 
     blocks = _buckets(chunks, collection, "c").join(_buckets(queries, collection, "q"), [collection, "bucket"])
     found = blocks.select("q_ids", "q_bits", "c_ids", "c_bits").mapInArrow(sieve, "query_id bigint, chunk_id bigint, differing int")
