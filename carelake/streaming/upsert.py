@@ -4,7 +4,7 @@ Rewriting the contact table for every micro-batch would cost its whole size
 each time. Each batch therefore appends only its folded updates to a log, and
 ``compact`` now and then merges the log into a new version. Under one folder:
 
-    base/version=N      the contacts of a version
+    base/version=N      the contacts of a version, with what its merge did to each
     commits             a row (version, merged_batch) for every finished version
     log/batch_id=N      the folded updates of a batch
     batches             a row for every finished batch
@@ -34,7 +34,7 @@ NO_BATCH = -1
 def create(contacts: DataFrame, root: str) -> None:
     """Version 0 from the given contacts, with an empty log. Fails where contacts are already."""
     spark = contacts.sparkSession
-    contacts.write.parquet(f"{root}/base/version=0")
+    contacts.withColumn("merge_action", F.lit("unchanged")).write.parquet(f"{root}/base/version=0")
     _finish(spark, root, NO_BATCH)
     _commit(spark, root, 0, NO_BATCH)
 
@@ -88,9 +88,13 @@ def stream_upsert(summaries: DataFrame, root: str) -> StreamingQuery:
     )
 
 
+def _version(spark: SparkSession, root: str, commit: Row) -> DataFrame:
+    return spark.read.parquet(f"{root}/base/version={commit.version}")
+
+
 def _merged(spark: SparkSession, root: str, commit: Row, upto: int) -> DataFrame:
     """A version's contacts with the batches after its own up to another, in message order."""
-    base = spark.read.parquet(f"{root}/base/version={commit.version}")
+    base = _version(spark, root, commit).drop("merge_action")
     if upto <= commit.merged_batch:
         return base.withColumn("merge_action", F.lit("unchanged"))
     # The partition filter keeps older batches' folders from being opened.
@@ -103,6 +107,11 @@ def current_contacts(spark: SparkSession, root: str) -> DataFrame:
     return _merged(spark, root, newest(spark, root), last_batch(spark, root))
 
 
+def newest_version(spark: SparkSession, root: str) -> DataFrame:
+    """The contacts of the newest version; ``merge_action`` is what its merge did to each, as written. The log is not read."""
+    return _version(spark, root, newest(spark, root))
+
+
 def compact(spark: SparkSession, root: str) -> int:
     """Write the current contacts as a new version; returns its number.
 
@@ -114,7 +123,7 @@ def compact(spark: SparkSession, root: str) -> int:
     if upto <= commit.merged_batch:
         return commit.version
     version = commit.version + 1
-    _merged(spark, root, commit, upto).drop("merge_action").write.mode("overwrite").parquet(f"{root}/base/version={version}")
+    _merged(spark, root, commit, upto).write.mode("overwrite").parquet(f"{root}/base/version={version}")
     _commit(spark, root, version, upto)
     return version
 

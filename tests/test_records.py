@@ -207,6 +207,21 @@ def logged(spark, root):
     return sorted(map(str, spark.read.parquet(f"{root}/log").where("clean is not null").collect()))
 
 
+def test_a_version_holds_what_its_merge_did(spark, tmp_path):
+    """As written, after older versions are gone; the next merge starts from unchanged contacts."""
+    contacts, updates = merge_case(7)
+    root = str(tmp_path)
+    actions = lambda rows: {r.id: r.merge_action for r in rows.collect()}
+    upsert.create(contact_frame(spark, contacts), root)
+    assert set(actions(upsert.newest_version(spark, root)).values()) == {"unchanged"}
+    upsert.write_batch(update_batch(spark, updates[:6]), 0, root)
+    expected = actions(upsert.current_contacts(spark, root))
+    upsert.compact(spark, root)
+    upsert.prune(spark, root, versions=1)
+    assert actions(upsert.newest_version(spark, root)) == expected and len(set(expected.values())) == 3
+    assert set(actions(upsert.current_contacts(spark, root)).values()) == {"unchanged"}
+
+
 def test_contacts_before_any_batch(spark, tmp_path):
     contacts, _ = merge_case(1)
     root = str(tmp_path)

@@ -116,7 +116,7 @@ def src_jdbc_rag_audit(spark, d):
     return jdbc.export_rag_audit(source)
 
 
-@query("sink_contact_upsert", f"select * exclude (merge_action) from ({MERGED_SQL})")
+@query("sink_contact_upsert", MERGED_SQL)
 def sink_contact_upsert(spark, d):
     """The summaries logged as one batch, merged into a new version, and that version read back."""
     root = scratch_path(spark, "contacts")
@@ -124,7 +124,7 @@ def sink_contact_upsert(spark, d):
     upsert.write_batch(tables.summary_json(spark, d), 0, root)
     upsert.compact(spark, root)
     upsert.prune(spark, root, versions=1)
-    return upsert.current_contacts(spark, root).select(*[c for c in MERGED_COLUMNS if c != "merge_action"])
+    return upsert.newest_version(spark, root).select(*MERGED_COLUMNS)
 
 
 # -- knowledge -----------------------------------------------------------------
