@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 # Chunk geometry and the separators tried from coarse to fine.
@@ -12,6 +12,7 @@ CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
 SEPARATORS = ("\n\n", "\n", " ", "")
 
+_BATCH_CHARS = 1 << 20
 CHUNK_SCHEMA = "doc_id bigint, chunk_no int, chunk string"
 
 
@@ -66,19 +67,39 @@ def split_text(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
     return [stripped for chunk in chunks if (stripped := chunk.strip())]
 
 
+def _batches(pieces: Iterator[tuple[int, int, str]], chars: int) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about so many characters."""
+    rows, held = [], 0
+    for row in pieces:
+        rows.append(row)
+        held += len(row[2])
+        if held >= chars:
+            yield _batch(rows)
+            rows, held = [], 0
+    if rows:
+        yield _batch(rows)
+
+
+def _batch(rows: list[tuple[int, int, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(values), kind) for values, kind in zip(zip(*rows), (pa.int64(), pa.int32(), pa.string()))],
+                                      names=["doc_id", "chunk_no", "chunk"])
+
+
 def chunk_documents(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """(doc_id, chunk_no, chunk) for documents with doc_id and text."""
+    """(doc_id, chunk_no, chunk) for documents with doc_id and text.
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    A task takes one document at a time out of Spark's batches, which end at 64
+    MB, and sends chunks on by the megabyte, so its memory is that of a batch.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (doc_id, number, chunk)
-                for doc_id, text in zip(batch["doc_id"], batch["text"])
-                for number, chunk in enumerate(split_text(text, size, overlap))
-            ]
-            yield pd.DataFrame(rows, columns=["doc_id", "chunk_no", "chunk"])
-
-    return documents.where(F.col("text").isNotNull()).select("doc_id", "text").mapInPandas(split, CHUNK_SCHEMA)
+            ids, texts = batch.columns
+            yield from _batches(((ids[i].as_py(), number, chunk) for i in range(batch.num_rows)
+                                 for number, chunk in enumerate(split_text(texts[i].as_py(), size, overlap))), _BATCH_CHARS)
+
+    known = documents.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return known.mapInArrow(split, CHUNK_SCHEMA)
 
 
 def chunk_fixed_window(documents: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> DataFrame:

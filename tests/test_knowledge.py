@@ -56,6 +56,17 @@ def test_chunks_of_documents(spark):
     assert [r.chunk for r in rows] == chunking.split_text("w " * 600)
 
 
+def test_chunks_leave_a_task_in_small_batches(spark):
+    """Memory is that of a few chunks, however many a batch of documents comes to; ids may be missing."""
+    rows = [(i // 7 if i % 5 else None, i % 7, "é" * (i % 300)) for i in range(2000)]
+    batches = list(chunking._batches(iter(rows), 1000))
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == rows
+    assert max(sum(map(len, b.column(2).to_pylist())) for b in batches) < 1000 + 300
+    docs = spark.createDataFrame([(None, "a b"), (2, "w " * 2000)], "doc_id int, text string").coalesce(1)
+    known = chunking.chunk_documents(docs)
+    assert dict(known.dtypes)["doc_id"] == "bigint" and {r.doc_id for r in known.collect()} == {None, 2}
+
+
 @pytest.mark.parametrize("length", [1, 49, 50, 51, 499, 500, 501, 950, 951, 2000])
 def test_fixed_windows_cover_the_text(spark, length):
     text = "".join(chr(ord("a") + i % 26) for i in range(length - 1)) + "é"
