@@ -2,40 +2,71 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from carelake.functions.privacy import has_leak
 from carelake.functions.text import relevance_line
 from carelake.operators import vectors
 from carelake.operators.quality import without_leaks
-from carelake.session import stored
 
 Embedder = Callable[[DataFrame], DataFrame]
 
 # Dimensions of the local embedder, and what it takes for a term.
 WIDTH, TERM = 256, r"[\p{L}\p{N}]+"
+_PART_ROWS = 1024
 
 # The wording around the context lines.
 BLOCK_HEAD = "\nCLINIC KNOWLEDGE BASE CONTEXT (retrieved automatically via RAG):\n"
 BLOCK_TAIL = "\n\nUse this context to estimate the 'potencial' field based on real service prices.\n"
 
 
-def hashed_terms(text: Column, width: int = WIDTH) -> Column:
-    """The dimension of every term of a text: runs of letters and digits, lower case, by the first 32 bits of their MD5."""
-    terms = F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
-    return F.transform(terms, lambda t: F.pmod(F.conv(F.left(F.md5(t), F.lit(8)), 16, 10).cast("bigint"), F.lit(width)).cast("int"))
+@lru_cache(1 << 16)
+def _hash(term: bytes) -> int:
+    return int.from_bytes(hashlib.md5(term).digest()[:4])
+
+
+def term_counts(terms: pa.Array, width: int) -> np.ndarray:
+    """(rows, width): how many of a row's terms have each dimension, the first 32 bits of their MD5 by the width. A term is hashed once for all rows."""
+    lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+    coded = terms.flatten().dictionary_encode()
+    dims = np.array([_hash(term) % width for term in coded.dictionary.cast(pa.binary()).to_pylist()], np.int64)
+    places = np.repeat(np.arange(len(terms)) * width, lengths) + dims[coded.indices.to_numpy()]
+    return np.bincount(places, minlength=len(terms) * width).reshape(len(terms), width)
+
+
+def _terms(text: Column) -> Column:
+    """Runs of letters and digits, lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+
+
+def _parts(terms: pa.Array) -> Iterator[tuple[slice, pa.Array]]:
+    """Few rows at a time, as a row has a number for each dimension."""
+    for start in range(0, len(terms), _PART_ROWS):
+        part = terms.slice(start, _PART_ROWS)
+        yield slice(start, start + len(part)), part
 
 
 def fit_rarity(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row, ``rarity``: for each dimension ln((chunks + 1) / (chunks with it + 1)).
 
-    Chunks are counted by dimension before the shuffle, and the result has one
-    number for each dimension whatever the size of the corpus. Null chunks count
-    as chunks without terms.
+    A task sends on a number for each dimension whatever the size of the corpus,
+    and so has the result. Null chunks count as chunks without terms.
     """
-    seen = chunks.select(F.explode(F.array_distinct(hashed_terms(F.col("chunk"), width))).alias("dim")).groupBy("dim").agg(F.count("*").alias("n"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(width, np.int64)
+        for batch in batches:
+            for _, part in _parts(batch.column(0)):
+                seen += (term_counts(part, width) > 0).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.array(seen)], names=["dim", "n"])
+
+    seen = chunks.select(_terms(F.col("chunk"))).mapInArrow(count, "dim int, n bigint").groupBy("dim").agg(F.sum("n").alias("n"))
     counts = seen.agg(F.map_from_entries(F.collect_list(F.struct("dim", "n"))).alias("seen"))
     total = chunks.agg(F.count("*").alias("total"))
     rarity = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda d: F.log(
@@ -44,24 +75,27 @@ def fit_rarity(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def fit_embedder(chunks: DataFrame, width: int = WIDTH) -> Embedder:
-    """A local text embedder: hashed terms weighted by rarity, length one, made of built-in functions only.
+    """A local text embedder: hashed terms weighted by rarity, length one.
 
+    Spark finds the terms; tasks count and weigh those of many chunks at once.
     The chunks are read once here, and once by ``embed_chunks``: pass a stored table.
     """
-    # One row, with a number for each dimension.
-    rarity = stored(fit_rarity(chunks, width), "rarity")
-
-    def embed(rows: DataFrame) -> DataFrame:
-        dims = F.col("_dims")
-        weighed = (rows.withColumn("_all", hashed_terms(F.col("chunk"), width)).withColumn("_dims", F.array_sort(F.array_distinct("_all")))
-                   .withColumn("_rarity", rarity.scalar())
-                   .withColumn("_weights", F.transform(dims, lambda d: (F.size("_all") - F.size(F.array_remove("_all", d))) * F.col("_rarity")[d])))
-        norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda total, w: total + w * w))
-        weighed = weighed.withColumn("_norm", norm)
-        value = lambda d: F.coalesce(F.when(F.col("_norm") > 0, F.try_element_at("_weights", F.nullif(F.array_position(dims, d), F.lit(0)).cast("int")) / F.col("_norm")), F.lit(0.0))
-        return weighed.select(*rows.columns, F.transform(F.sequence(F.lit(0), F.lit(width - 1)), value).alias("embedding"))
-
-    return embed
+    # A number for each dimension.
+    rarity = np.array(fit_rarity(chunks, width).first().rarity)
+
+    def embed(terms: pa.Array) -> pa.Array:
+        out = np.zeros((len(terms), width))
+        for rows, part in _parts(terms):
+            weights = term_counts(part, width) * rarity
+            total = np.zeros(len(part))
+            for dim in range(width):  # in the order of dimensions, whatever numpy's own order is
+                total += weights[:, dim] * weights[:, dim]
+            norm = np.sqrt(total)[:, None]
+            np.divide(weights, norm, out=out[rows], where=norm > 0)  # the others stay at zero
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(terms) + 1) * width, pa.int32()), pa.array(out.ravel()))
+
+    vector = F.arrow_udf(embed, "array<double>")
+    return lambda rows: rows.withColumn("embedding", vector(_terms(F.col("chunk"))))
 
 
 def embed_chunks(chunks: DataFrame, embedder: Embedder) -> DataFrame:

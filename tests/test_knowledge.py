@@ -1,9 +1,13 @@
 """Chunking, embedding and vector search against brute force."""
 
+import functools
 import hashlib
+import math
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -270,6 +274,30 @@ def test_embedder_equals_numpy(spark):
         assert np.allclose(got.embedding, weights / norm if norm else weights)
 
 
+def test_terms_are_hashed_once_for_many_chunks(monkeypatch):
+    """What a batch costs follows its different terms, and counts are those of each row, slices and nulls included."""
+    rng = random.Random(3)
+    rows = [None if i % 50 == 7 else [f"t{rng.randint(0, 30)}" for _ in range(i % 40)] for i in range(3000)]
+    hashed = []
+    monkeypatch.setattr(knowledge, "_hash", lambda term: hashed.append(term) or int(hashlib.md5(term).hexdigest()[:8], 16))
+    parts = list(knowledge._parts(pa.array(rows, pa.list_(pa.string()))))
+    counts = np.concatenate([knowledge.term_counts(part, 16) for _, part in parts])
+    expected = np.array([np.bincount([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 16 for t in row or []], minlength=16) for row in rows])
+    assert (counts == expected).all() and len(hashed) <= 31 * len(parts) and max(len(p) for _, p in parts) <= 1024
+
+
+def test_embedding_adds_in_the_order_of_dimensions(spark):
+    """Bit for bit what the SQL's ordered sum gives."""
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(60)) for i in range(30)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, chunk string")
+    dims = [[int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 64 for t in text.split()] for text in texts]
+    rarity = [math.log(31 / (sum(d in x for x in dims) + 1)) for d in range(64)]
+    for got, own in zip(knowledge.fit_embedder(rows, 64)(rows).orderBy("id").collect(), dims):
+        weights = [own.count(d) * rarity[d] for d in range(64)]
+        norm = math.sqrt(functools.reduce(lambda total, w: total + w * w, weights, 0.0))
+        assert got.embedding == [w / norm if norm else 0.0 for w in weights]
+
+
 def test_answers_never_show_personal_data(spark):
     texts = ["Whitening costs 300, call +5581999990000", "Whitening is quick", "Parking is free", "CPF 123.456.789-00 whitening whitening"]
     chunks = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, chunk string")
