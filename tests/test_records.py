@@ -421,6 +421,16 @@ def test_message_stream_equals_the_batch(spark, tmp_path, rocks):
     assert {(r.text, r.reason) for r in rows if r.reason} == {("nobody", "user"), ("never", "ts")}
 
 
+def test_message_stream_orders_equal_messages_without_text(spark, tmp_path, rocks):
+    """The same time and number twice, once without text; what waits beside it comes in order."""
+    at = lambda s: START + dt.timedelta(seconds=s)
+    batch = [("a", at(5), 1, "x"), ("a", at(5), 1, None), ("a", at(9), 2, None), ("a", at(4), 3, "first"), ("b", at(5), 4, "other")]
+    rows, _ = run_messages(spark, tmp_path, [batch, [("z", at(10**6), 502, "last")]], 60, "10 seconds")
+    placed = sorted((r.user, r.position, r.text) for r in rows)
+    assert placed == [("a", 1, "first"), ("a", 2, None), ("a", 3, "x"), ("a", 4, None), ("b", 1, "other")]
+    assert {r.session_start for r in rows if r.user == "a"} == {at(4)}
+
+
 def test_endless_session_keeps_constant_state(spark, tmp_path, rocks):
     at = lambda s: START + dt.timedelta(seconds=s)
     batches = [[("a", at(100 * b + i), 100 * b + i, "m") for i in range(100)] for b in range(4)] + [[("a", at(5), 1000, "late"), ("a", at(400), 400, "m")]]
