@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 _BLOCK_BYTES = 1 << 20
 _BLOCK_ROWS = 1024
+# Blocks leave a task in batches of about so many bytes, and so many queries at once are compared with a block.
+_BATCH_BYTES, _SLICE = 4 << 20, 128
 # Cosines are compared at this many decimals, then by id, so that the order of
 # summation never decides between equal vectors.
 RANK_DECIMALS = 9
@@ -52,7 +54,7 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
             matrix = lists.flatten().to_numpy(zero_copy_only=False).astype(number).reshape(batch.num_rows, -1)
             norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix, dtype=np.float64))
             step = int(min(_BLOCK_ROWS, max(1, _BLOCK_BYTES // max(1, matrix[0].nbytes))))
-            rows = []
+            rows, held = [], 0
             for key, places in keys.groupby(group, sort=False).indices.items():
                 names = key if isinstance(key, tuple) else (key,)
                 for start in range(0, len(places), step):
@@ -63,7 +65,12 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
                         f"{prefix}_values": matrix[part].ravel(),
                         f"{prefix}_norms": norms[part],
                     })
-            yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+                    held += rows[-1][f"{prefix}_values"].nbytes
+                    if held >= _BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+                        rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
     flat = vectors.where(F.col("vec").isNotNull()).select(*[F.col(name).cast("string").alias(name) for name in group], "id", "vec")
     return flat.mapInArrow(pack, schema)
@@ -89,15 +96,17 @@ def _block_pairs(queries: DataFrame, chunks: DataFrame, group: list[str]) -> Dat
 _PAIR = [f"{side}_{part}" for side in "qc" for part in ("ids", "values", "norms")]
 
 
-def _each_pair(batches: Iterator[pa.RecordBatch]):
-    """(query ids, chunk ids, cosine matrix) per joined row; a vector of length zero has cosine 0."""
-    for batch in batches:
-        columns = [batch.column(name) for name in _PAIR]
-        for row in range(batch.num_rows):
-            q_ids, q_values, q_norms, c_ids, c_values, c_norms = (c[row].values.to_numpy(zero_copy_only=False) for c in columns)
-            dots = q_values.astype(np.float64).reshape(len(q_ids), -1) @ c_values.astype(np.float64).reshape(len(c_ids), -1).T
-            lengths = q_norms[:, None] * c_norms
-            yield q_ids, c_ids, np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
+def _each_pair(batch: pa.RecordBatch):
+    """(query ids, chunk ids, cosine matrix) for few queries of a joined row at a time; a vector of length zero has cosine 0."""
+    for row in range(batch.num_rows):
+        q_ids, q_values, q_norms, c_ids, c_values, c_norms = (batch.column(name)[row].values.to_numpy(zero_copy_only=False) for name in _PAIR)
+        q_values = q_values.reshape(len(q_ids), -1)
+        c_values = c_values.astype(np.float64).reshape(len(c_ids), -1).T
+        for start in range(0, len(q_ids), _SLICE):
+            some = slice(start, start + _SLICE)
+            dots = q_values[some].astype(np.float64) @ c_values
+            lengths = q_norms[some, None] * c_norms
+            yield q_ids[some], c_ids, np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
 
 
 def _best_places(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -119,17 +128,13 @@ def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int)
     out = pa.schema([("query_id", pa.int64()), ("chunk_id", pa.int64()), ("cosine", pa.float64())])
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for q_ids, c_ids, scores in _each_pair(batches):
-            order = _best_places(scores, c_ids, k)
-            kept = order.shape[1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(q_ids, kept)),
-                    pa.array(c_ids[order].ravel()),
-                    pa.array(np.take_along_axis(scores, order, axis=1).ravel()),
-                ],
-                schema=out,
-            )
+        for batch in batches:
+            found = []
+            for q_ids, c_ids, scores in _each_pair(batch):
+                order = _best_places(scores, c_ids, k)
+                found.append((np.repeat(q_ids, order.shape[1]), c_ids[order].ravel(), np.take_along_axis(scores, order, axis=1).ravel()))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*found)], schema=out)
 
     pairs = _block_pairs(queries, chunks, group).select(_PAIR)
     return pairs.mapInArrow(best, "query_id bigint, chunk_id bigint, cosine double")
@@ -158,12 +163,11 @@ def score_summary(queries: DataFrame, chunks: DataFrame, collection: str = "coll
                      ("worst", pa.float64()), ("total", pa.float64())])
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for q_ids, c_ids, scores in _each_pair(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(q_ids), pa.array(np.full(len(q_ids), len(c_ids))), pa.array(scores.max(axis=1)),
-                 pa.array(scores.min(axis=1)), pa.array(scores.sum(axis=1))],
-                schema=out,
-            )
+        for batch in batches:
+            found = [(q_ids, np.full(len(q_ids), len(c_ids)), scores.max(axis=1), scores.min(axis=1), scores.sum(axis=1))
+                     for q_ids, c_ids, scores in _each_pair(batch)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*found)], schema=out)
 
     pairs = _block_pairs(queries, chunks, [collection]).select(_PAIR)
     parts = pairs.mapInArrow(summarise, "query_id bigint, n bigint, best double, worst double, total double")

@@ -146,6 +146,18 @@ def test_best_places_equal_a_full_sort():
     assert (vectors._best_places(scores, ids, 7) == full).all() and vectors._best_places(scores, ids, 99).shape == (50, 40)
 
 
+def test_blocks_are_compared_a_few_queries_at_once():
+    """No matrix holds more, and together they are the whole pair of blocks."""
+    rng = np.random.default_rng(6)
+    q, c = rng.normal(size=(300, 8)), rng.normal(size=(50, 8))
+    q[5] = 0
+    columns = [pa.array([list(x)]) for m, first in ((q, 0), (c, 1000)) for x in (range(first, first + len(m)), m.ravel(), np.linalg.norm(m, axis=1))]
+    parts = list(vectors._each_pair(pa.RecordBatch.from_arrays(columns, names=vectors._PAIR)))
+    assert max(len(scores) for _, _, scores in parts) <= 128 and np.concatenate([ids for ids, _, _ in parts]).tolist() == list(range(300))
+    lengths = np.linalg.norm(q, axis=1)[:, None] * np.linalg.norm(c, axis=1)
+    assert np.allclose(np.concatenate([scores for _, _, scores in parts]), np.divide(q @ c.T, lengths, out=np.zeros_like(lengths), where=lengths > 0))
+
+
 def test_widths_must_agree(spark):
     frame = spark.createDataFrame([(1, "a", [1.0, 2.0]), (2, "a", [1.0])], "id long, collection string, vec array<float>").coalesce(1)
     with pytest.raises(Exception, match="one width"):
