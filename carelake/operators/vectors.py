@@ -9,7 +9,7 @@ never exist as rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +25,11 @@ _BATCH_BYTES, _SLICE = 4 << 20, 128
 RANK_DECIMALS = 9
 
 
-def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
-    """(group..., <prefix>_ids, <prefix>_values, <prefix>_norms): vectors of a group, side by side, with their lengths.
+Pack = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    Packing happens inside each partition, without a shuffle. A block holds at
-    most about a megabyte, in the precision of its input. Vectors must have
-    columns id and vec.
-    """
+
+def _packer(vectors: DataFrame, group: list[str], prefix: str) -> tuple[DataFrame, Pack, str]:
+    """What ``pack_blocks`` reads, the function that packs it in a task, and the columns of that."""
     single = vectors.schema["vec"].dataType.elementType.typeName() == "float"
     kind, number = ("float", np.float32) if single else ("double", np.float64)
     fields = ", ".join(f"{name} string" for name in group)
@@ -44,6 +42,9 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Here, because a filter in the plan would compute vectors a second time.
+            if batch.column("vec").null_count:
+                batch = batch.filter(pc.is_valid(batch.column("vec")))
             if batch.num_rows == 0:
                 continue
             keys = batch.select(group).to_pandas()
@@ -51,7 +52,7 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
             lists = batch.column("vec")
             if len(pc.unique(pc.list_value_length(lists))) != 1:
                 raise ValueError("vectors of one collection table must have one width")
-            matrix = lists.flatten().to_numpy(zero_copy_only=False).astype(number).reshape(batch.num_rows, -1)
+            matrix = lists.flatten().to_numpy(zero_copy_only=False).astype(number, copy=False).reshape(batch.num_rows, -1)
             norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix, dtype=np.float64))
             step = int(min(_BLOCK_ROWS, max(1, _BLOCK_BYTES // max(1, matrix[0].nbytes))))
             rows, held = [], 0
@@ -72,7 +73,17 @@ def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
-    flat = vectors.where(F.col("vec").isNotNull()).select(*[F.col(name).cast("string").alias(name) for name in group], "id", "vec")
+    return vectors.select(*[F.col(name).cast("string").alias(name) for name in group], "id", "vec"), pack, schema
+
+
+def pack_blocks(vectors: DataFrame, group: list[str], prefix: str) -> DataFrame:
+    """(group..., <prefix>_ids, <prefix>_values, <prefix>_norms): vectors of a group, side by side, with their lengths.
+
+    Packing happens inside each partition, without a shuffle. A block holds at
+    most about a megabyte, in the precision of its input. Vectors must have
+    columns id and vec.
+    """
+    flat, pack, schema = _packer(vectors, group, prefix)
     return flat.mapInArrow(pack, schema)
 
 
@@ -123,8 +134,12 @@ def _best_places(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(places, np.argsort(np.take_along_axis(keys, places, axis=1), axis=1), axis=1)
 
 
-def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int) -> DataFrame:
-    """(query_id, chunk_id, cosine): the best k chunks per query and pair of blocks."""
+def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int, few: bool = False) -> DataFrame:
+    """(query_id, chunk_id, cosine): the best k chunks per query and pair of blocks.
+
+    ``few`` queries go to every task as they are, and chunks meet them where they
+    are read: then blocks of chunks are neither rows nor copied.
+    """
     out = pa.schema([("query_id", pa.int64()), ("chunk_id", pa.int64()), ("cosine", pa.float64())])
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +151,23 @@ def block_topk(queries: DataFrame, chunks: DataFrame, group: list[str], k: int)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*found)], schema=out)
 
-    pairs = _block_pairs(queries, chunks, group).select(_PAIR)
-    return pairs.mapInArrow(best, "query_id bigint, chunk_id bigint, cosine double")
+    result = "query_id bigint, chunk_id bigint, cosine double"
+    if not few:
+        return _block_pairs(queries, chunks, group).select(_PAIR).mapInArrow(best, result)
+    asked = pack_blocks(queries, group, "q").dropna(subset=group).toArrow().combine_chunks()
+    flat, pack, _ = _packer(chunks, group, "c")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_group: dict[tuple, list[dict]] = {}
+        for key, row in zip(zip(*(asked[name].to_pylist() for name in group)), range(len(asked))):
+            by_group.setdefault(key, []).append({name: asked[name].chunk(0).slice(row, 1) for name in _PAIR[:3]})
+        for packed in pack(batches):
+            for row, key in enumerate(zip(*(packed.column(name).to_pylist() for name in group))):
+                own = {name: packed.column(name).slice(row, 1) for name in _PAIR[3:]}
+                for block in by_group.get(key, ()):
+                    yield pa.RecordBatch.from_pydict(block | own)
+
+    return flat.mapInArrow(lambda batches: best(meet(batches)), result)
 
 
 def keep_topk(candidates: DataFrame, k: int) -> DataFrame:
@@ -147,13 +177,14 @@ def keep_topk(candidates: DataFrame, k: int) -> DataFrame:
     return candidates.withColumn("place", F.row_number().over(best_first)).where(F.col("place") <= k)
 
 
-def topk_cosine(queries: DataFrame, chunks: DataFrame, k: int = 3, collection: str = "collection") -> DataFrame:
+def topk_cosine(queries: DataFrame, chunks: DataFrame, k: int = 3, collection: str = "collection", few: bool = False) -> DataFrame:
     """(query_id, chunk_id, relevance, place): the k nearest chunks in the query's collection.
 
     Exact. Relevance is the cosine at two decimals; it may be negative. Inputs
-    have columns id, vec and the collection.
+    have columns id, vec and the collection. ``few`` says that the queries fit into
+    the driver and each task, however many chunks there are.
     """
-    found = keep_topk(block_topk(queries, chunks, [collection], k), k)
+    found = keep_topk(block_topk(queries, chunks, [collection], k, few), k)
     return found.select("query_id", "chunk_id", F.round("cosine", 2).alias("relevance"), "cosine", "place")
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,39 +19,60 @@ Embedder = Callable[[DataFrame], DataFrame]
 
 # Dimensions of the local embedder, and what it takes for a term.
 WIDTH, TERM = 256, r"[\p{L}\p{N}]+"
+_BETWEEN_TERMS = r"[^\p{L}\p{N}]+"
 _PART_ROWS = 1024
+# So many questions at most are taken to every task as they are.
+_FEW = 2048
 
 # The wording around the context lines.
 BLOCK_HEAD = "\nCLINIC KNOWLEDGE BASE CONTEXT (retrieved automatically via RAG):\n"
 BLOCK_TAIL = "\n\nUse this context to estimate the 'potencial' field based on real service prices.\n"
 
 
-@lru_cache(1 << 16)
 def _hash(term: bytes) -> int:
     return int.from_bytes(hashlib.md5(term).digest()[:4])
 
 
-def term_counts(terms: pa.Array, width: int) -> np.ndarray:
-    """(rows, width): how many of a row's terms have each dimension, the first 32 bits of their MD5 by the width. A term is hashed once for all rows."""
+def term_dims(terms: pa.Array, width: int) -> pa.Array:
+    """For each list of terms the list of their dimensions, the first 32 bits of a term's MD5 by the width. A term is hashed once for all rows."""
     lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
     coded = terms.flatten().dictionary_encode()
-    dims = np.array([_hash(term) % width for term in coded.dictionary.cast(pa.binary()).to_pylist()], np.int64)
-    places = np.repeat(np.arange(len(terms)) * width, lengths) + dims[coded.indices.to_numpy()]
-    return np.bincount(places, minlength=len(terms) * width).reshape(len(terms), width)
+    different = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    dims = np.array([_hash(term) % width for term in different], np.int32)
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32), dims[coded.indices.to_numpy()])
+
+
+def _counts(dims: pa.Array, width: int) -> np.ndarray:
+    """(rows, width): how often each dimension is in a row's list."""
+    lengths = pc.list_value_length(dims).to_numpy(zero_copy_only=False)
+    places = np.repeat(np.arange(len(dims)) * width, lengths) + dims.flatten().to_numpy()
+    return np.bincount(places, minlength=len(dims) * width).reshape(len(dims), width)
+
+
+def term_counts(terms: pa.Array, width: int) -> np.ndarray:
+    """(rows, width): how many of a row's terms have each dimension."""
+    return _counts(term_dims(terms, width), width)
 
 
 def _terms(text: Column) -> Column:
-    """Runs of letters and digits, lower case."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+    """Runs of letters and digits, lower case, with a space between them: a text reaches Python faster than a list."""
+    return F.trim(F.regexp_replace(F.lower(text), _BETWEEN_TERMS, " "))
 
 
-def _parts(terms: pa.Array) -> Iterator[tuple[slice, pa.Array]]:
+def _parts(lists: pa.Array) -> Iterator[tuple[slice, pa.Array]]:
     """Few rows at a time, as a row has a number for each dimension."""
-    for start in range(0, len(terms), _PART_ROWS):
-        part = terms.slice(start, _PART_ROWS)
+    for start in range(0, len(lists), _PART_ROWS):
+        part = lists.slice(start, _PART_ROWS)
         yield slice(start, start + len(part)), part
 
 
+def _counted(terms: pa.Array, width: int) -> Iterator[tuple[slice, np.ndarray]]:
+    """The counts of few rows at a time; terms are hashed once for all of them."""
+    some = pc.if_else(pc.equal(terms, ""), pa.scalar(None, terms.type), terms)  # an empty text has no term, rather than an empty one
+    for rows, part in _parts(term_dims(pc.split_pattern(some, " "), width)):
+        yield rows, _counts(part, width)
+
+
 def fit_rarity(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row, ``rarity``: for each dimension ln((chunks + 1) / (chunks with it + 1)).
 
@@ -62,8 +82,8 @@ def fit_rarity(chunks: DataFrame, width: int = WIDTH) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(width, np.int64)
         for batch in batches:
-            for _, part in _parts(batch.column(0)):
-                seen += (term_counts(part, width) > 0).sum(axis=0)
+            for _, counts in _counted(batch.column(0), width):
+                seen += np.count_nonzero(counts, axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)), pa.array(seen)], names=["dim", "n"])
 
     seen = chunks.select(_terms(F.col("chunk"))).mapInArrow(count, "dim int, n bigint").groupBy("dim").agg(F.sum("n").alias("n"))
@@ -85,11 +105,11 @@ def fit_embedder(chunks: DataFrame, width: int = WIDTH) -> Embedder:
 
     def embed(terms: pa.Array) -> pa.Array:
         out = np.zeros((len(terms), width))
-        for rows, part in _parts(terms):
-            weights = term_counts(part, width) * rarity
-            total = np.zeros(len(part))
-            for dim in range(width):  # in the order of dimensions, whatever numpy's own order is
-                total += weights[:, dim] * weights[:, dim]
+        for rows, counts in _counted(terms, width):
+            weights = counts * rarity
+            total = np.zeros(len(weights))
+            for squares in np.ascontiguousarray(weights.T) ** 2:  # in the order of dimensions, whatever numpy's own order is
+                total += squares
             norm = np.sqrt(total)[:, None]
             np.divide(weights, norm, out=out[rows], where=norm > 0)  # the others stay at zero
         return pa.ListArray.from_arrays(pa.array(np.arange(len(terms) + 1) * width, pa.int32()), pa.array(out.ravel()))
@@ -108,14 +128,15 @@ def embed_chunks(chunks: DataFrame, embedder: Embedder) -> DataFrame:
     return embedder(chunks)
 
 
-def search_results(ranked: DataFrame, chunks: DataFrame, questions: DataFrame) -> DataFrame:
+def search_results(ranked: DataFrame, chunks: DataFrame, questions: DataFrame, few: bool = False) -> DataFrame:
     """(query_id, results): texts with relevance, nearest first, for each question's id.
 
     ``ranked`` holds at most k rows per query; ``chunks`` has id and text. A
     question without hits, or whose hits have no text here, has no results.
+    ``few`` says that ``ranked`` fits a broadcast; then the texts are not shuffled.
     """
     texts = chunks.select(F.col("id").alias("chunk_id"), "text")
-    hits = ranked.join(texts, "chunk_id").select("query_id", F.struct("place", "text", "relevance").alias("hit"))
+    hits = (F.broadcast(ranked) if few else ranked).join(texts, "chunk_id").select("query_id", F.struct("place", "text", "relevance").alias("hit"))
     found = hits.groupBy("query_id").agg(F.sort_array(F.collect_list("hit")).alias("hits"))
     shown = F.transform(F.coalesce("hits", F.array().cast(found.schema["hits"].dataType)),
                         lambda h: F.struct(h["text"].alias("texto"), h["relevance"].alias("relevancia")))
@@ -141,9 +162,12 @@ def answer_blocks(questions: DataFrame, chunks: DataFrame, embedder: Embedder, k
 
     Questions have a collection, too, and are embedded as the chunks were. Chunks
     in which personal data is found are never shown: they are searched as if
-    they weren't there. A question without hits has an empty block.
+    they weren't there. A question without hits has an empty block. Up to 2,048
+    questions go to every task, so each chunk is embedded where it is read and
+    meets them there; chunks and their vectors are neither copied nor shuffled.
     """
+    few = questions.limit(_FEW + 1).count() <= _FEW
     safe = without_leaks(chunks, ("text",), has_leak)
     asked = embed_chunks(questions.withColumnRenamed("text", "chunk"), embedder).withColumnRenamed("embedding", "vec")
-    ranked = vectors.topk_cosine(asked.select("id", "collection", "vec"), safe.select("id", "collection", "vec"), k)
-    return rag_block(search_results(ranked, safe.select("id", "text"), questions))
+    ranked = vectors.topk_cosine(asked.select("id", "collection", "vec"), safe.select("id", "collection", "vec"), k, few=few)
+    return rag_block(search_results(ranked, safe.select("id", "text"), questions, few))

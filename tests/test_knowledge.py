@@ -12,6 +12,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from carelake.functions import privacy
 from carelake.operators import chunking, signatures, vectors
 from carelake.plans import knowledge
 
@@ -319,3 +320,44 @@ def test_answers_never_show_personal_data(spark):
     blocks = {r.query_id: r.block for r in knowledge.answer_blocks(questions, known, embedder, 3).collect()}
     assert "quick" in blocks[1] and "free" in blocks[1] and "5581" not in blocks[1] and "CPF" not in blocks[1]
     assert blocks[2] == "" and blocks.keys() == {1, 2, 3}
+
+
+def test_a_batch_hashes_its_terms_once(monkeypatch):
+    """Each different term of a whole batch, however many rows are counted at a time; empty and null texts have none."""
+    rng = random.Random(5)
+    rows = [None if i % 50 == 7 else " ".join(f"t{rng.randint(0, 30)}" for _ in range(i % 40)) for i in range(3000)]
+    hashed = []
+    monkeypatch.setattr(knowledge, "_hash", lambda term: hashed.append(term) or int(hashlib.md5(term).hexdigest()[:8], 16))
+    counts = np.concatenate([counts for _, counts in knowledge._counted(pa.array(rows), 16)])
+    expected = [np.bincount([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 16 for t in (row or "").split()], minlength=16) for row in rows]
+    assert (counts == np.array(expected)).all() and sorted(hashed) == sorted({t.encode() for row in rows if row for t in row.split()})
+
+
+def test_few_questions_leave_chunks_where_they_are(spark, monkeypatch):
+    """No chunk is copied, shuffled or embedded twice; many questions get the same blocks on the grid."""
+    texts = [f"price {i} of whitening number w{i * i % 37}" for i in range(60)] + [None, "", "CPF 123.456.789-00 price"]
+    chunks = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, chunk string")
+    embedder = knowledge.fit_embedder(chunks)
+    known = embedder(chunks).select("id", F.col("chunk").alias("text"), F.col("embedding").alias("vec"), F.lit("c").alias("collection"))
+    questions = spark.createDataFrame([(1, "w3 price", "c"), (2, "number 40", "c"), (3, None, "c")], "id long, text string, collection string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = knowledge.answer_blocks(questions, known, embedder)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" not in plan and plan.count("ArrowEvalPython") == 1 and plan.count("SortMergeJoin") == 1
+        monkeypatch.setattr(knowledge, "_FEW", 2)
+        many = knowledge.answer_blocks(questions, known, embedder)
+        assert "Generate" in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(few.collect()) == sorted(many.collect()) and all("price" in r.block and "CPF" not in r.block for r in few.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_leaks_are_those_of_the_pattern(values):
+    """The quicker test finds what the published pattern finds."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice(["1", "23", "456", "456", ".", ".", "-", "+", "x", "7890123"]) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    texts += ["123.456.789-00", "0123.456.789-001", "123.456.78-00", "+123456789", "+1234567890", "12345678901234", "\u0661" * 12, "", None]
+    got = values(texts, privacy.has_leak)
+    assert got == [None if t is None else bool(re.search(privacy.LEAK_PATTERN, t, re.ASCII)) for t in texts] and True in got[:3000] and False in got[:3000]

@@ -189,9 +189,10 @@ def answer_blocks(spark, d):
     """Documents ingested; then each benchmark text as a question, answered by a block of context in one call."""
     chunks = stored(_chunks(spark, d), "chunks")
     embedder = knowledge.fit_embedder(chunks)
-    known = stored(knowledge.embed_chunks(chunks, embedder).select(
+    # Only the search reads the vectors, and once, so they need not be stored.
+    known = knowledge.embed_chunks(chunks, embedder).select(
         (F.col("doc_id") * _CHUNK_ID + F.col("chunk_no")).alias("id"), F.col("chunk").alias("text"), F.col("embedding").alias("vec"),
-        F.lit("docs").alias("collection")), "embedded")
+        F.lit("docs").alias("collection"))
     questions = tables.table(spark, d, "benchmark").select(F.col("item_id").alias("id"), "text", F.lit("docs").alias("collection"))
     return knowledge.answer_blocks(questions, known, embedder)
 
