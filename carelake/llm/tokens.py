@@ -11,15 +11,16 @@ from collections.abc import Iterator
 from itertools import chain, islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
-from carelake.llm.arrays import Prefixes, byte_values, pieces, text_bytes, word_bounds
+from carelake.llm.arrays import Prefixes, byte_values, distinct_parts, pieces, text_bytes, word_bounds
 
 # Segments remembered by a worker before it starts anew.
 REMEMBERED = 1_000_000
 # Segments handed to the tokenizer at a time.
 LEARNED = 20_000
+# Words encoded as one text, and marks to tell them apart by.
+TOGETHER, MARKS = 64, ("\u2021", "\u00b6", "\u00a7", "^", "~", "\\")
 # Bytes that white space, in the widest sense, can begin with in UTF-8.
 _MAYBE_SPACE = np.zeros(256, bool)
 _MAYBE_SPACE[[*range(0x09, 0x0E), *range(0x1C, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -82,6 +83,10 @@ class TokenBytes:
     and treats words apart takes the words between ASCII white space. A text that
     holds the name of a special token is encoded as a whole, as the spaces beside
     it matter. Segments are remembered by a 64-bit hash and their length.
+
+    New words are encoded several at once with a mark behind each, because a text
+    costs the tokenizer more than a word. Where the mark's id comes from a word as
+    well, the words are encoded one by one.
     """
 
     _open: dict[str, "TokenBytes"] = {}
@@ -94,8 +99,16 @@ class TokenBytes:
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         apart = self.tokenizer.encode("a  b", add_special_tokens=False).ids
         self.drops_space = apart == self.tokenizer.encode("a b", add_special_tokens=False).ids
+        self.mark, self.mark_id = self._find_mark() if self.drops_space else (None, None)
         self._forget()
 
+    def _find_mark(self) -> tuple[str | None, int | None]:
+        for mark in MARKS:
+            ids = self.tokenizer.encode(mark, add_special_tokens=False).ids
+            if len(ids) == 1:
+                return mark, ids[0]
+        return None, None
+
     @classmethod
     def shared(cls, path: str) -> "TokenBytes":
         if path not in cls._open:
@@ -110,16 +123,35 @@ class TokenBytes:
     def whole(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
+    def _singly(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int32, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words, several in a text."""
+        groups = [texts[i:i + TOGETHER] for i in range(0, len(texts), TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([f" {self.mark} ".join([*group, ""]) for group in groups], add_special_tokens=False)
+        parts = []
+        for group, encoded in zip(groups, joined):
+            ids = np.array(encoded.ids, np.uint32)
+            ends = np.flatnonzero(ids == self.mark_id)
+            if len(ends) == len(group) and ends[-1] == len(ids) - 1:
+                parts.append((np.delete(ids, ends), (np.diff(ends, prepend=-1) - 1).astype(np.int32)))
+            else:
+                parts.append(self._singly(group))
+        return tuple(np.concatenate(part) for part in zip(*parts))
+
     def _learn(self, keys: np.ndarray, texts: Iterator[str]) -> None:
         """Encode and remember segments, a limited number at a time: the tokenizer's own results are large."""
         for first in range(0, len(keys), LEARNED):
             own = keys[first:first + LEARNED]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(list(islice(texts, len(own))), add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int32, len(found))
-            n, at = int(lengths.sum()), self.known.count
+            ids, lengths = (self._singly if self.mark is None else self._together)(list(islice(texts, len(own))))
+            n, at = len(ids), self.known.count
             if self.used + n > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(max(n, len(self.ids) // 2), np.uint32)])
-            self.ids[self.used:self.used + n] = np.fromiter(chain.from_iterable(found), np.uint32, n)
+            self.ids[self.used:self.used + n] = ids
             self.starts[at:at + len(own)] = self.used + np.cumsum(lengths) - lengths
             self.lengths[at:at + len(own)] = lengths
             self.known.add(own)
@@ -130,16 +162,15 @@ class TokenBytes:
         starts, ends, firsts = (word_bounds if self.drops_space else _spaced_bounds)(data, bounds)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
-        hashes = Prefixes(byte_values(data), "byte").part(starts, ends) + (ends - starts).astype(np.uint64)
-        codes, distinct = pd.factorize(hashes)
-        example = np.empty(len(distinct), np.int64)
-        example[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        codes, distinct = distinct_parts(data, starts, ends)
+        held, places = text_bytes(distinct)
+        hashes = Prefixes(byte_values(held), "byte").part(places[:-1], places[1:]) + np.diff(places).astype(np.uint64)
         if self.known.count + len(distinct) > self.known.most:
             self._forget(max(REMEMBERED, len(distinct)))
-        fresh = example[self.known.find(distinct) < 0]
-        blob = memoryview(data)
-        self._learn(hashes[fresh], (str(blob[a:b], "utf-8", "replace") for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())))
-        slots = self.known.find(distinct)[codes]
+        fresh = np.flatnonzero(self.known.find(hashes) < 0)
+        blob = memoryview(held)
+        self._learn(hashes[fresh], (str(blob[a:b], "utf-8", "replace") for a, b in zip(places[fresh].tolist(), places[fresh + 1].tolist())))
+        slots = self.known.find(hashes)[codes]
         lengths = self.lengths[slots].astype(np.int64)
         ahead = np.concatenate([[0], np.cumsum(lengths)])
         take = np.repeat(self.starts[slots] - ahead[:-1], lengths) + np.arange(ahead[-1])
