@@ -184,6 +184,30 @@ def test_suffix_dedup(odd_documents, no_documents, length, gram):
     assert suffix_dedup.remove_repeats(no_documents).count() == 0
 
 
+def test_repeated_pattern_gives_few_rows(spark, monkeypatch):
+    texts = [f"{hashlib.sha256(b'a%d' % i).hexdigest()} {'Osas ' * 300}{hashlib.sha256(b'b%d' % i).hexdigest()}" for i in range(6)]
+    texts += ["ab" * 700 + "c" + "ab" * 700, "x" * 1000, "x" * 400, "x" * 399, "long line of one text, told again\n" * 60]
+    seen = Counter(t[i:i + 400] for t in texts for i in range(len(t) - 399))
+    expected = {}
+    for doc_id, text in enumerate(texts):
+        gone = np.zeros(len(text), bool)
+        for i in range(len(text) - 399):
+            if seen[text[i:i + 400]] > 1:
+                gone[i:i + 400] = True
+        expected[doc_id] = (int(gone.sum()), bytes(np.frombuffer(text.encode(), np.uint8)[~gone]))
+    counts, kept = {}, suffix_dedup.stored
+
+    def counting(df, name):
+        out = kept(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "stored", counting)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffix_dedup.remove_repeats(frame).collect()} == expected
+    assert counts["live-byte-runs"] < 20 * len(texts)
+
+
 def test_crowded_anchors_give_the_same(odd_documents, monkeypatch):
     usual = by_multiset(suffix_dedup.remove_repeats(odd_documents, 30, 8), "doc_id", "kept")
     monkeypatch.setattr(suffix_dedup, "CROWD", 1)
